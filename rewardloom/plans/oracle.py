@@ -134,3 +134,21 @@ def with_ctes(body: str, *extra: tuple[str, str]) -> str:
             need(name)
     parts = [f"{n} AS ({defs[n]}\n)" for n in order if n in needed]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+
+
+SPLIT_RE = r"[ \t\n\r\f\x0B]+"
+
+
+def tokens(x: str) -> str:
+    """Whitespace tokens of ``x`` (same rule as functions.text.corpus_tokens)."""
+    return f"list_filter(string_split_regex({ustrip(x)}, '{SPLIT_RE}'), lambda t: t <> '')"
+
+
+def vocab_sql(source: str) -> str:
+    """Vocabulary over ``source`` (a query yielding one column ``txt``)."""
+    return f"""
+SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 2 AS BIGINT) AS token_id, n
+FROM (SELECT token, count(*) AS n
+      FROM (SELECT unnest({tokens('txt')}) AS token FROM ({source}))
+      WHERE token NOT IN ('<pad>', '</s>', '<unk>') GROUP BY token)
+UNION ALL SELECT '<pad>', 0, NULL UNION ALL SELECT '</s>', 1, NULL UNION ALL SELECT '<unk>', 2, NULL"""
