@@ -28,6 +28,15 @@ def strip_blank(df: DataFrame, cols=TEXT_COLUMNS) -> DataFrame:
     return df.select(*[ustrip(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def keep_after_cleaning():
+    """The row predicate of C1–C3 as one boolean column (used by the gates,
+    which count cleaned rows without materialising them)."""
+    ok = coerce_numeric(F.col("rating")).isNotNull()
+    for c in TEXT_COLUMNS:
+        ok = ok & F.col(c).isNotNull() & (ustrip(F.col(c)) != F.lit(""))
+    return ok
+
+
 def clean_feedback(df: DataFrame) -> DataFrame:
     """C1 -> C2 -> C3; every input column is kept, order preserved."""
     return strip_blank(drop_missing(coerce_rating(df)))
