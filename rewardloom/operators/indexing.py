@@ -19,7 +19,8 @@ def sequential_index(df: DataFrame, order_cols: list, name: str = "idx", start:
     ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # sizes come straight from the range exchange (reused), not from the window
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = local.join(F.broadcast(offsets), "_pid")

@@ -47,14 +47,23 @@ def pair_training_rows(pairs: DataFrame, n_features: int = DEFAULT_SETTINGS.hash
     return pos.unionByName(neg)
 
 
-def fit_reward_model(pairs: DataFrame, reg_param: float = 0.01, max_iter: int = 50,
+def fit_reward_model(pairs: DataFrame, reg_param: float = 0.01, max_iter: int = 100,
                      n_features: int = DEFAULT_SETTINGS.hashing_features,
                      max_tokens: int = DEFAULT_SETTINGS.scorer_max_tokens) -> PipelineModel:
-    """Fit on pairs; returns a PipelineModel (hashing + logistic)."""
-    rows = pair_training_rows(pairs, n_features, max_tokens)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", fitIntercept=False,
-                            regParam=reg_param, maxIter=max_iter, standardization=False)
-    return PipelineModel(stages=[_htf(n_features), lr.fit(rows)])
+    """Fit on pairs; returns a PipelineModel (hashing + logistic).
+
+    Raw term counts are badly conditioned; with per-feature standardization
+    L-BFGS converges (≈45 iterations at sf0.1) instead of running out of
+    iterations, and every iteration is one distributed aggregation."""
+    from pyspark import StorageLevel
+    rows = pair_training_rows(pairs, n_features, max_tokens).select("features", "label")
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)   # iterative: scan the lineage once
+    try:
+        lr = LogisticRegression(featuresCol="features", labelCol="label", fitIntercept=False,
+                                regParam=reg_param, maxIter=max_iter, standardization=True)
+        return PipelineModel(stages=[_htf(n_features), lr.fit(rows)])
+    finally:
+        rows.unpersist()
 
 
 def score_batch(df: DataFrame, model: PipelineModel, q: str = "question", a: str = "answer",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rewardloom.operators import prompts as D
 from rewardloom.plans.oracle import tokens, vocab_sql
 from rewardloom.plans.registry import query
+from rewardloom.session import materialize
 from rewardloom.sources import fixtures as fx
 
 
@@ -21,7 +22,10 @@ def _prompts(spark, sf):
 
 def _encoded(spark, sf):
     up = _prompts(spark, sf)
-    return D.tokenize_prompts(up, D.build_vocab(up, "prompt"))
+    # the vocabulary is an artifact used by every encode: written once to the
+    # shared checkpoint folder instead of being re-derived inside each plan
+    vocab = materialize(D.build_vocab(up, "prompt"), "vocab")
+    return D.tokenize_prompts(up, vocab)
 
 
 _UP = "up AS (SELECT DISTINCT prompt FROM fx_prompts WHERE prompt IS NOT NULL)"
@@ -100,6 +104,6 @@ FROM rt r LEFT JOIN (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS respo
 WHERE len(r.qt) + len(r.t) > 0""")
 def decode_responses(spark, sf):
     rated = fx.rated_table(spark, sf)
-    texts = rated.select(F.col("question").alias("txt")).unionByName(rated.select(F.col("answer").alias("txt")))
-    vocab = D.build_vocab(texts, "txt")
+    texts = rated.select(F.explode(F.array("question", "answer")).alias("txt"))
+    vocab = materialize(D.build_vocab(texts, "txt"), "vocab")
     return D.decode_responses(fx.responses_table(spark, sf), vocab)

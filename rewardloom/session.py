@@ -43,21 +43,38 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written intermediate tables.
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder is created and registered.
+    Read from the session (``spark.checkpoint.dir``, else the context's
+    checkpoint dir); only when nothing is configured (local tests) a folder is
+    created and registered.
     """
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir()
-    if cur:
-        return cur
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the conf is all there is
+        sc = None
+    if sc is not None:
+        cur = sc.getCheckpointDir()
+        if cur:
+            return cur
+        if not conf:
+            conf = tempfile.mkdtemp(prefix="rewardloom-ckpt-")   # tests only: nothing configured
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
     if not conf:
-        conf = tempfile.mkdtemp(prefix="rewardloom-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+        raise RuntimeError("spark.checkpoint.dir is not set")
+    return conf
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder (never a machine-local temp dir)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/rewardloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` once as parquet under the shared folder and
+    return a DataFrame reading it (one computation, survives executor loss)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
