@@ -51,5 +51,8 @@ def corpus_tokens(c) -> Column:
 
 
 def qa_text(question, answer) -> Column:
-    """The scorer's input template."""
-    return F.concat(F.lit(QA_TEMPLATE_PREFIX), _c(question), F.lit(QA_TEMPLATE_MIDDLE), _c(answer))
+    """The scorer's input template; a missing side renders as ``None``, as
+    Python string formatting does."""
+    def side(x):
+        return F.coalesce(_c(x), F.lit("None"))
+    return F.concat(F.lit(QA_TEMPLATE_PREFIX), side(question), F.lit(QA_TEMPLATE_MIDDLE), side(answer))

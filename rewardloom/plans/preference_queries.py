@@ -39,7 +39,8 @@ def preference_pairs(spark, sf):
 
 
 @query("format_qa", """
-SELECT doc_id, concat('Câu hỏi: ', question, chr(10) || chr(10) || 'Trả lời: ', answer) AS text
+SELECT doc_id, concat('Câu hỏi: ', coalesce(question, 'None'), chr(10) || chr(10) || 'Trả lời: ',
+                      coalesce(answer, 'None')) AS text
 FROM fx_rated""")
 def format_qa(spark, sf):
     return P.format_qa(rated(spark, sf)).select("doc_id", "text")
@@ -94,5 +95,5 @@ def score_batch(spark, sf):
 def score_unrated(spark, sf):
     """Rows-only: unrated assistant answers from the chats, scored."""
     chat, users = chat_and_users(spark, sf)
-    un = E.extract_unrated(chat, users).where(F.col("question").isNotNull() & F.col("answer").isNotNull())
+    un = E.extract_unrated(chat, users)
     return SC.score_batch(un, _model(spark, sf)).select("chat_id", "message_id", "score")

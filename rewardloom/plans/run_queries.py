@@ -103,4 +103,4 @@ def stream_reward_cache(spark, sf):
     chats, users, base = _staged_stream(spark, sf, "stream-cache")
     q = ST.start_reward_cache(chats, users, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("key", "reward", "n_ratings")
+    return ST.read_reward_table(spark, f"{base}/out")

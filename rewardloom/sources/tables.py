@@ -2,8 +2,9 @@
 
 ``fmt`` is ``parquet``, ``json`` (JSON lines with the CHAT/USER schema),
 ``delta``/``orc``/any file format Spark knows, or ``jdbc``.  For JDBC the read
-is split into ``num_partitions`` predicates on ``mod(id, n)`` so no single
-connection pulls the whole table.
+is split into ``num_partitions`` range slices of ``id`` when ``id_bounds`` is
+given, else into ``mod(id, n)`` predicates, so no single connection pulls the
+whole table.
 """
 
 from __future__ import annotations
@@ -19,12 +20,18 @@ def _conform(df: DataFrame, struct) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None,
                jdbc_table: str | None = None, jdbc_props: dict | None = None,
-               num_partitions: int = 64) -> DataFrame:
+               num_partitions: int = 64, id_bounds: tuple[int, int] | None = None) -> DataFrame:
     if fmt == "jdbc":
         props = dict(jdbc_props or {})
         url = props.pop("url", path)
-        preds = [f"mod(id, {num_partitions}) = {i}" for i in range(num_partitions)]
-        df = spark.read.jdbc(url, jdbc_table, predicates=preds, properties=props)
+        if id_bounds is not None:
+            # index-friendly range slices of the primary key
+            df = spark.read.jdbc(url, jdbc_table, column="id", lowerBound=int(id_bounds[0]),
+                                 upperBound=int(id_bounds[1]), numPartitions=num_partitions,
+                                 properties=props)
+        else:
+            preds = [f"mod(id, {num_partitions}) = {i}" for i in range(num_partitions)]
+            df = spark.read.jdbc(url, jdbc_table, predicates=preds, properties=props)
     elif fmt == "json" and struct is not None:
         df = spark.read.schema(struct).json(path)
     else:

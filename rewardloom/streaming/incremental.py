@@ -16,7 +16,7 @@ there and stops, surviving restarts through the checkpoint.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rewardloom import schema as S
 from rewardloom.operators import clean as C, extract as E, rewards as R
@@ -49,14 +49,38 @@ def reward_cache_stream(chats: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def start_reward_cache(chats: DataFrame, users: DataFrame, sink: str, checkpoint: str,
-                       available_now: bool = True):
-    """Complete mode: each trigger rewrites the table from the state store
-    (one row per key), so readers always see a consistent whole table."""
-
-    def publish(batch: DataFrame, _batch_id: int):
-        batch.write.mode("overwrite").parquet(sink)
-
-    w = (reward_cache_stream(chats, users).writeStream.outputMode("complete")
+                       available_now: bool = True, mode: str = "update"):
+    """Publish the streaming reward table.
+
+    ``update`` (default): each trigger appends only the keys whose winner
+    changed, as partition ``batch_id=N``; ``read_reward_table`` rebuilds the
+    current table with one aggregate (latest batch per key).  Cost per
+    trigger grows with the changes, not with the table.
+    ``complete``: each trigger rewrites the whole table (simple readers, but
+    the write grows with the number of keys)."""
+    if mode not in ("update", "complete"):
+        raise ValueError(mode)
+
+    def publish(batch: DataFrame, batch_id: int):
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(sink)
+        else:
+            (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("batch_id").parquet(sink))
+
+    w = (reward_cache_stream(chats, users).writeStream.outputMode(mode)
          .foreachBatch(publish).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     return w.start()
+
+
+def read_reward_table(spark: SparkSession, sink: str, mode: str = "update") -> DataFrame:
+    """The current reward table from a sink written by ``start_reward_cache``.
+    A retried micro-batch overwrites its own ``batch_id`` partition, so the
+    rebuild is exact after failures too."""
+    df = spark.read.parquet(sink)
+    if mode == "complete":
+        return df
+    latest = F.max_by(F.struct("reward", "n_ratings"), "batch_id")
+    return df.groupBy("key").agg(latest.alias("w")).select("key", "w.reward", "w.n_ratings")
