@@ -10,7 +10,11 @@ prompt.  A regroup holds at most ``max_tokens`` entries.
 
 from __future__ import annotations
 
+from typing import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.functions import pandas_udf
 
 from rewardloom.config import DEFAULT_SETTINGS, EOS_ID, PAD_ID, SPECIAL_TOKENS, UNK_ID
 from rewardloom.functions.text import corpus_tokens
@@ -119,3 +123,24 @@ def decode_responses(responses: DataFrame, vocab: DataFrame, key: str = "doc_id"
     n_resp = F.greatest(F.size("input_ids") - F.col("q_len"), F.lit(0))
     sliced = enc.select(key, F.slice("input_ids", F.col("q_len") + 1, n_resp).alias("response_ids"))
     return decode(sliced, key, "response_ids", vocab, out="response_text")
+
+
+# -- external tokenizer hook (D3) --------------------------------------------
+def tokenize_with(df: DataFrame, text_col: str, encoder_factory, key: str = "prompt_key",
+                  max_tokens: int = DEFAULT_SETTINGS.prompt_max_tokens) -> DataFrame:
+    """D3 with a pretrained tokenizer instead of the corpus vocabulary.
+
+    ``encoder_factory()`` is called once per Arrow batch stream (i.e. per
+    task) and must return ``fn(list[str]) -> list[list[int]]`` — e.g. a
+    batch ``encode`` of a tokenizer loaded from a shared path.  The work is
+    an iterator pandas UDF over Spark's partitions; truncation, the empty
+    filter and the mask stay Spark expressions."""
+    @pandas_udf("array<int>")
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = encoder_factory()
+        for texts in batches:
+            yield pd.Series([list(ids) for ids in fn(texts.fillna("").tolist())])
+
+    ids = F.slice(_encode(F.col(text_col)), 1, max_tokens)
+    out = df.select(key, ids.alias("input_ids")).where(F.size("input_ids") > 0)
+    return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))

@@ -22,8 +22,20 @@ _BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # streaming state (one row per reward key) lives off-heap in RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# What the same jobs expect on a cluster (set by the deployment, not by the
+# library): the keys above plus partition sizing for ~100 TB inputs.
+CLUSTER_CONF = dict(_BASE_CONF, **{
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+})
+
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "rewardloom", extra: dict | None = None) -> SparkSession:

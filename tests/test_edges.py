@@ -147,3 +147,23 @@ def test_unpad_removes_pad_values_everywhere(spark):
     df = spark.createDataFrame([([0, 0, 5, 0, 7],), ([3],)], "input_ids array<int>")
     assert [r.input_ids for r in D.unpad(df).collect()] == [[5, 7], [3]]
     assert [r.input_ids for r in D.unpad(df, pad_id=7).collect()] == [[0, 0, 5, 0], [3]]
+
+
+def test_raw_message_sample_is_first_annotated(spark):
+    s = E.raw_message_sample(chats(spark, EDGE_CHATS), chars=30).collect()
+    assert len(s) == 1 and (s[0].chat_id, s[0].msg_pos) == (1, 1)
+    assert s[0].raw_preview == '{"role":"assistant","parentId"'
+
+
+def test_external_tokenizer_hook(spark):
+    df = spark.createDataFrame([("k1", "a b c"), ("k2", "   "), ("k3", "x " * 300)],
+                               "prompt_key string, prompt string")
+
+    def factory():
+        return lambda texts: [[len(w) for w in t.split()] for t in texts]
+
+    got = {r.prompt_key: (r.input_ids, r.attention_mask)
+           for r in D.tokenize_with(df, "prompt", factory).collect()}
+    assert set(got) == {"k1", "k3"}                       # empty encoding dropped
+    assert got["k1"] == ([1, 1, 1], [1, 1, 1])
+    assert len(got["k3"][0]) == 128                       # truncated
