@@ -2,14 +2,42 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rewardloom.session import staged_path
+
 from rewardloom.functions.order import seq_col
 from rewardloom.sources import fixtures as fx
 
 
+STAGE_VERSION = "chat-v1"
+
+
+def _fingerprint(sf_dir: str, *tables: str) -> str:
+    parts = [STAGE_VERSION, os.path.abspath(sf_dir)]
+    for t in tables:
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        try:
+            st = os.stat(p)
+            parts.append(f"{t}:{st.st_size}:{st.st_mtime_ns}")
+        except OSError:
+            parts.append(t)
+    return "|".join(parts)
+
+
+def chat_path(spark: SparkSession, sf_dir: str) -> str:
+    """The chat table as the source system holds it (JSON text per chat),
+    derived from ``conversations`` once per input and written to the shared
+    folder in several files; queries scan (or stream) it like a source."""
+    return staged_path(spark, "chat", _fingerprint(sf_dir, "conversations"),
+                       lambda: fx.chat_table(spark, sf_dir), files=8)
+
+
 def chat_and_users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return fx.chat_table(spark, sf_dir), fx.user_table(spark, sf_dir)
+    from rewardloom.sources.tables import read_chat
+    return read_chat(spark, chat_path(spark, sf_dir)), fx.user_table(spark, sf_dir)
 
 
 def rated(spark: SparkSession, sf_dir: str, dup: bool = False) -> DataFrame:

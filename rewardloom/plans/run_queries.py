@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rewardloom.operators import runs as O
-from rewardloom.plans.inputs import chat_and_users
+from rewardloom.plans.inputs import chat_and_users, chat_path
 from rewardloom.plans.oracle import key as okey
 from rewardloom.plans.registry import query
 from rewardloom.session import scratch_path
@@ -75,10 +75,11 @@ def dataset_card(spark, sf):
 
 
 def _staged_stream(spark, sf, name):
-    chat, users = chat_and_users(spark, sf)
+    """The staged chat folder (8 files) read as a file stream, 2 files per
+    micro-batch; output and checkpoint go to a fresh folder per run."""
+    _, users = chat_and_users(spark, sf)
     base = scratch_path(spark, name)
-    chat.repartition(4, "id").write.parquet(f"{base}/landing")
-    return ST.chat_stream(spark, f"{base}/landing", max_files_per_trigger=1), users, base
+    return ST.chat_stream(spark, chat_path(spark, sf), max_files_per_trigger=2), users, base
 
 
 @query("stream_extract", """

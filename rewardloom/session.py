@@ -90,3 +90,33 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """True when a completed Spark write (its _SUCCESS marker) is at ``path``."""
+    try:
+        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
+        return True
+    except Exception:
+        return False
+
+
+def staged_path(spark: SparkSession, name: str, fingerprint: str, build, files: int = 0) -> str:
+    """Folder of a table derived once from given inputs and then read like a
+    source.  ``fingerprint`` identifies the inputs (path, sizes, times); the
+    table is written to the shared folder on first use.  ``files`` > 0
+    spreads the rows over that many files."""
+    import hashlib
+
+    digest = hashlib.sha1(fingerprint.encode()).hexdigest()[:16]
+    path = f"{shared_dir(spark).rstrip('/')}/rewardloom/staged/{name}-{digest}"
+    if not _exists(spark, path):
+        df = build()
+        if files:
+            df = df.repartition(files)
+        df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def staged(spark: SparkSession, name: str, fingerprint: str, build, files: int = 0):
+    return spark.read.parquet(staged_path(spark, name, fingerprint, build, files))
