@@ -110,3 +110,13 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def score_with(df: DataFrame, scorer_factory, q: str = "question", a: str = "answer",
+               out: str = "score") -> DataFrame:
+    """P5 with an external scorer (e.g. a neural reward model exported to a
+    shared path).  ``scorer_factory()`` runs once per task and returns
+    ``fn(list[str]) -> list[float]`` over the formatted scorer inputs; Spark
+    partitions the rows and streams them as Arrow batches."""
+    from rewardloom.operators._hooks import batch_score_udf
+    return df.withColumn(out, batch_score_udf(scorer_factory)(qa_text(q, a)))

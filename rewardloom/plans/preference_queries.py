@@ -97,3 +97,14 @@ def score_unrated(spark, sf):
     chat, users = chat_and_users(spark, sf)
     un = E.extract_unrated(chat, users)
     return SC.score_batch(un, _model(spark, sf)).select("chat_id", "message_id", "score")
+
+
+@query("pair_model_selection")
+def pair_model_selection(spark, sf):
+    """Rows-only: held-out accuracy / pair loss per regularisation candidate
+    (train side fit, test side scored); the argmin is the kept model."""
+    p = P.train_test_split(pairs(spark, sf), "prompt", seed=SEED)
+    _, table = SC.select_reg_param(p, candidates=(0.0, 0.01, 0.1))
+    best = table.agg(F.min_by("reg_param", "loss").alias("best"))
+    return table.join(best, F.col("reg_param") == F.col("best"), "left") \
+                .select("reg_param", "accuracy", "loss", "n_pairs", F.col("best").isNotNull().alias("selected"))

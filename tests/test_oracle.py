@@ -6,7 +6,7 @@ import pytest
 from rewardloom.plans import ORACLE, QUERIES
 from tests.conftest import SF01
 
-SLOW_ROWS_ONLY = {"reward_model_fit", "score_batch", "score_unrated"}
+SLOW_ROWS_ONLY = {"reward_model_fit", "score_batch", "score_unrated", "pair_model_selection"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

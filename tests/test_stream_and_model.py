@@ -79,3 +79,14 @@ def test_chat_source_json_roundtrip(spark):
     back = read_chat(spark, path, fmt="json")
     assert back.schema.simpleString() == "struct<id:bigint,user_id:bigint,chat:string>"
     assert sorted(back.collect()) == sorted(chat.collect())
+
+
+def test_external_scorer_hook(spark):
+    df = rated(spark, SF01).select("doc_id", "question", "answer")
+
+    def factory():
+        return lambda texts: [len(t) for t in texts]
+
+    got = SC.score_with(df, factory).select("doc_id", "score", F.length(
+        F.concat(F.lit("Câu hỏi: "), "question", F.lit("\n\nTrả lời: "), "answer")).alias("n"))
+    assert got.where("score <> n").count() == 0
