@@ -32,7 +32,7 @@ UNICODE_WS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 @dataclass(frozen=True)
 class Settings:
-    """Defaults mirror the reference's configuration constants."""
+    """Defaults mirror the source pipeline's configuration constants."""
 
     rating_min: float = 1.0
     rating_max: float = 5.0

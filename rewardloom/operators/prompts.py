@@ -1,6 +1,6 @@
 """Prompt corpus, vocabulary, tokenization, batching and decoding.
 
-The reference tokenizes each prompt with a pretrained tokenizer inside one
+The source pipeline tokenizes each prompt with a pretrained tokenizer in one
 process.  Here tokenization is a corpus job: whitespace tokens are exploded
 with their positions (bounded by the truncation length), looked up in a
 vocabulary DataFrame with an equi-join (AQE: broadcast when small, skew-split

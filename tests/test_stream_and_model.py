@@ -46,10 +46,11 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     chat, users = chat_and_users(spark, SF01)
     run = O.feedback_run(chat, users, run_id="t")
     path = scratch_path(spark, "t-dry")
-    st = O.execute_run(run, sink_path=path, dry_run=True)
-    assert st["status"] == "ready" and "written" not in st
+    dry = O.execute_run(run, sink_path=path, dry_run=True)
+    assert dry["status"] == "ready" and "written" not in dry
     st = O.execute_run(run, sink_path=path)
     assert st["written"] == path
+    assert {k: st[k] for k in dry} == dry            # observed counts == gate aggregate
     assert spark.read.parquet(path).where(F.col("run_id") == "t").count() == st["samples"]
 
 
