@@ -4,9 +4,9 @@ Pairs are linear in the data: after one-rating-per-key dedup, each prompt's
 best answer (highest rating, then first in source order) is paired with every
 strictly lower-rated answer of that prompt — at most n-1 pairs for n answers,
 never all pairs.  The champion per prompt is an aggregate (map-side partial),
-and the pairing is an equi-join whose small side is unique per prompt, so a
-prompt holding a third of all rows is split by AQE's skew join rather than
-gathered in one task.
+and the pairing joins against that one-row-per-prompt table with hot prompts
+salted (operators/skew.py), so a prompt holding a third of all rows is spread
+over many tasks rather than gathered in one.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from rewardloom.config import DEFAULT_SETTINGS
 from rewardloom.functions.text import qa_text
 from rewardloom.operators.rewards import with_reward_key
+from rewardloom.operators.skew import skew_safe_join
 
 
 def dedup_by_key(samples: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def preference_pairs(samples: DataFrame, dedup: bool = True) -> DataFrame:
     best = F.min_by(F.struct(F.col("answer").alias("chosen"), F.col("rating").alias("chosen_rating")),
                     F.struct((-F.col("rating")).alias("r"), F.col("seq").alias("s")))
     champ = d.groupBy("question").agg(best.alias("c")).select("question", "c.*")
-    j = d.join(champ, "question").where(F.col("rating") < F.col("chosen_rating"))
+    j = skew_safe_join(d, champ, "question").where(F.col("rating") < F.col("chosen_rating"))
     return j.select(F.col("question").alias("prompt"), "chosen", F.col("answer").alias("rejected"),
                     "chosen_rating", F.col("rating").alias("rejected_rating"),
                     (F.col("chosen_rating") - F.col("rating")).alias("margin"))

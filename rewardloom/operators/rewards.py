@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rewardloom.config import DEFAULT_SETTINGS, Settings
 from rewardloom.functions.text import reward_key as _key_expr
+from rewardloom.operators.skew import skew_safe_join
 
 
 def reward_expr(rating, settings: Settings = DEFAULT_SETTINGS):
@@ -65,11 +66,12 @@ def build_reward_cache(samples: DataFrame) -> DataFrame:
 def compute_rewards(responses: DataFrame, cache: DataFrame, q: str = "question",
                     r: str = "response") -> DataFrame:
     """Look every (question, response) up; a miss scores 0.0 (FLOAT) and
-    ``hit`` tells a miss from a genuine neutral.  Left join on the key: AQE
-    broadcasts the cache when it is small, else sort-merge with skew split."""
+    ``hit`` tells a miss from a genuine neutral.  Left join on the key with
+    hot response keys salted (the table side is an aggregate, which AQE's
+    skew split does not cover); the planner still broadcasts a small table."""
     keyed = responses.withColumn("key", _key_expr(q, r))
     c = cache.select("key", F.col("reward").alias("_cached"), F.lit(True).alias("_hit"))
-    j = keyed.join(c, "key", "left")
+    j = skew_safe_join(keyed, c, "key", how="left")
     return (j.withColumn("reward", F.coalesce("_cached", F.lit(0.0)).cast("float"))
              .withColumn("hit", F.coalesce("_hit", F.lit(False)))
              .drop("_cached", "_hit"))

@@ -36,7 +36,7 @@ def _norm(v):
             return "∅"
         if v == int(v) and abs(v) < 1e15:
             return repr(int(v))
-        return f"{v:.9g}"
+        return repr(v) if os.environ.get("ORACLE_EXACT", "1") == "1" else f"{v:.9g}"
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
