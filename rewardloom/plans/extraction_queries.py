@@ -159,3 +159,25 @@ FROM fx_feedback ORDER BY epoch DESC NULLS FIRST, chat_id, turn LIMIT 3""")
 def feedback_preview(spark, sf):
     chat, users = chat_and_users(spark, sf)
     return E.feedback_preview(E.extract_feedback(chat, users, sort=False))
+
+
+_RAW_SQL = """
+SELECT chat_id, msg_pos, left(raw, 300) AS raw_preview FROM (
+  SELECT chat_id, msg_pos,
+    '{' || concat_ws(',',
+       '"role":' || to_json(role),
+       CASE WHEN parent_id IS NOT NULL THEN '"parentId":' || to_json(parent_id) END,
+       CASE WHEN model IS NOT NULL THEN '"model":' || to_json(model) END,
+       '"content":' || to_json(content),
+       CASE WHEN epoch IS NOT NULL THEN '"timestamp":' || CAST(epoch AS VARCHAR) END,
+       '"annotation":' || CASE WHEN h <= 4 THEN '{"rating":' || CAST(h + 1 AS VARCHAR) || ',"reason":"r' || CAST(h AS VARCHAR) || '"}'
+                              WHEN h = 5 AND chat_id % 2 = 0 THEN '{"rating":"10","comment":"c"}'
+                              WHEN h = 5 THEN '{"rating":"-1","comment":"c"}'
+                              WHEN h = 6 THEN '{"rating":"n/a"}' ELSE 'null' END) || '}' AS raw
+  FROM fx_msg WHERE rated ORDER BY chat_id, msg_pos LIMIT 1)"""
+
+
+@query("raw_message_preview", _RAW_SQL)
+def raw_message_preview(spark, sf):
+    chat, _ = chat_and_users(spark, sf)
+    return E.raw_message_sample(chat)
