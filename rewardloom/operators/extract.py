@@ -58,21 +58,22 @@ def message_time(ts_text: Column) -> Column:
 
 
 def message_fields(exploded: DataFrame) -> DataFrame:
-    """E2–E4 over exploded messages: parse each message once and look up the
-    parent's content in the same chat's map."""
-    m = _message_struct(F.col("raw"))
-    staged = exploded.select("*", m.alias("m"))
-    ann = F.from_json(F.col("m.annotation"), S.ANNOTATION)
-    parent = F.from_json(F.col("msgs")[F.col("m.parentId")], S.PARENT_DDL)
+    """E2–E4 over exploded messages: parse each message once, its annotation
+    once, and look up the parent's content in the same chat's map.  Each
+    parse gets its own projection so the optimizer keeps one parse per
+    value instead of one per extracted field."""
+    staged = exploded.select("*", _message_struct(F.col("raw")).alias("m"))
+    staged = staged.select("*", F.from_json(F.col("m.annotation"), S.ANNOTATION).alias("a"),
+                           F.from_json(F.col("msgs")[F.col("m.parentId")], S.PARENT_DDL).alias("p"))
     return staged.select(
         "chat_id", "user_id", "msg_pos", "message_id",
         F.col("m.role").alias("role"), F.col("m.model").alias("model"),
         F.col("m.timestamp").alias("timestamp_text"),
         message_time(F.col("m.timestamp")).alias("datetime"),
         F.col("m.parentId").alias("parent_id"),
-        ann["rating"].alias("rating"), ann["reason"].alias("reason"),
-        ann["comment"].alias("comment"),
-        parent["content"].alias("question"),
+        F.col("a.rating").alias("rating"), F.col("a.reason").alias("reason"),
+        F.col("a.comment").alias("comment"),
+        F.col("p.content").alias("question"),
         F.col("m.content").alias("answer"))
 
 

@@ -17,6 +17,8 @@ def test_chat_document_parsed_once(spark):
     chat, users = chat_and_users(spark, SF01)
     text = plan_text(E.extract_feedback(chat, users), "optimized")
     assert text.count("StructField(history") == 1
+    # chat, message, annotation and parent: each parsed exactly once
+    assert text.count("from_json(") == 4
 
 
 def test_unrated_topn_is_take_ordered(spark):
