@@ -91,3 +91,19 @@ def test_external_scorer_hook(spark):
     got = SC.score_with(df, factory).select("doc_id", "score", F.length(
         F.concat(F.lit("Câu hỏi: "), "question", F.lit("\n\nTrả lời: "), "answer")).alias("n"))
     assert got.where("score <> n").count() == 0
+
+
+def test_score_is_margin_brute_force(spark):
+    import numpy as np
+    from tests.conftest import SF001
+    pairs = P.preference_pairs(R.reward_samples(rated(spark, SF001, dup=True)))
+    model = SC.fit_reward_model(pairs, max_iter=20)
+    df = rated(spark, SF001).select("doc_id", "question", "answer")
+    scored = {r.doc_id: r.score for r in SC.score_batch(df, model).collect()}
+    feats = model.stages[0].transform(df.withColumn(SC.TOKENS, SC.scorer_tokens("question", "answer")))
+    w = np.array(SC.weights(model))
+    for r in feats.select("doc_id", "features").collect():
+        assert abs(float(np.dot(w, r.features.toArray())) - scored[r.doc_id]) < 1e-9
+    # the fit separates its own training pairs better than chance
+    m = P.pair_metrics(SC.score_pairs(pairs, model), by=()).first()
+    assert m.accuracy > 0.5
