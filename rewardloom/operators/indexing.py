@@ -5,22 +5,31 @@ Range-partition on the order, number rows inside each range partition, then
 add the count of all earlier partitions.  The offsets table has one row per
 partition — its size is bounded by the partition count, not the data, so it
 is safe to broadcast.
+
+The partition sizes and the per-partition numbers are two uses of the same
+range partitioning; its bounds come from sampling the input, so the input is
+first written once to the shared folder (a parquet scan samples the same way
+every time — an aggregate's output order does not).  Retries and re-plans
+then always agree on which range a row belongs to.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rewardloom.session import materialize
+
 
 def sequential_index(df: DataFrame, order_cols: list, name: str = "idx", start: int = 0,
                      num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    stable = materialize(df, "index-input")
+    ranged = stable.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
-    # sizes come straight from the range exchange (reused), not from the window
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # single-partition window over one row per range partition (≤ n rows)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = local.join(F.broadcast(offsets), "_pid")

@@ -24,9 +24,12 @@ from rewardloom.operators.indexing import sequential_index
 # -- D1 ----------------------------------------------------------------------
 def unique_prompts(df: DataFrame, col: str = "question") -> DataFrame:
     """Distinct prompt texts (NULL excluded), each with a content key
-    (SHA-256 hex) that later stages group and order by."""
-    p = df.where(F.col(col).isNotNull()).select(F.col(col).alias("prompt")).distinct()
-    return p.withColumn("prompt_key", F.sha2("prompt", 256))
+    (SHA-256 hex).  Deduplicating on the key (map-side partial aggregate)
+    leaves the output hash-partitioned by ``prompt_key``, so the per-prompt
+    regroup after a broadcast vocabulary lookup needs no further shuffle."""
+    p = df.where(F.col(col).isNotNull()).select(F.sha2(F.col(col), 256).alias("prompt_key"),
+                                                F.col(col).alias("prompt"))
+    return p.dropDuplicates(["prompt_key"]).select("prompt", "prompt_key")
 
 
 # -- D2 ----------------------------------------------------------------------

@@ -66,3 +66,18 @@ def test_pairs_are_ordered_and_linear(spark):
     answers = P.dedup_by_key(samples).groupBy("question").count()
     joined = per_prompt.join(answers, per_prompt.prompt == answers.question)
     assert joined.where("n >= count").count() == 0          # at most n - 1 pairs
+
+
+def test_sequential_index_is_consecutive_and_stable(spark):
+    from rewardloom.operators.indexing import sequential_index
+    from rewardloom.sources import fixtures as fx
+    # input whose row order varies between evaluations: an aggregate's output
+    counts = fx.user_turns(spark, SF01).select(F.explode(F.split("text", " ")).alias("t")) \
+        .groupBy("t").agg(F.count("*").alias("n"))
+    order = [F.col("n").desc(), F.col("t").asc()]
+    a = sequential_index(counts, order, num_partitions=7)
+    rows = a.orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(len(rows)))
+    assert [(r.n, r.t) for r in rows] == sorted(((r.n, r.t) for r in rows), key=lambda x: (-x[0], x[1]))
+    b = sequential_index(counts, order, num_partitions=13)
+    assert sorted(a.collect()) == sorted(b.collect())
