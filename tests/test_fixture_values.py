@@ -28,6 +28,7 @@ def test_extraction_counts(spark):
     assert hist == {-1.0: 17, 1.0: 38, 2.0: 34, 3.0: 36, 4.0: 36, 5.0: 38, 10.0: 17}
     rewards = {r.rating: r.reward for r in R.normalize_rating(clean).select("rating", "reward").distinct().collect()}
     assert rewards == {-1.0: -1.0, 1.0: -1.0, 2.0: -0.5, 3.0: 0.0, 4.0: 0.5, 5.0: 1.0, 10.0: 1.0}
+    fb.unpersist()
 
 
 def test_rated_prompts_and_vocab_counts(spark):

@@ -13,6 +13,7 @@ def plan_text(df, mode="formatted"):
 
 def test_chat_document_parsed_once(spark):
     from rewardloom.operators import extract as E
+    spark.catalog.clearCache()
     from rewardloom.plans.inputs import chat_and_users
     chat, users = chat_and_users(spark, SF01)
     text = plan_text(E.extract_feedback(chat, users), "optimized")
