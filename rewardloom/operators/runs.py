@@ -79,40 +79,24 @@ def feedback_run(chat: DataFrame, users: DataFrame, days_back: int | None = None
     return Run(rid, samples, gate_counts(fb, rid, settings), fb, settings)
 
 
-def _status(extracted: int, samples: int, min_samples: int) -> str:
-    if extracted == 0:
-        return NO_FEEDBACK
-    return NOT_ENOUGH if samples < min_samples else READY
-
-
 def execute_run(run: Run, sink_path: str | None = None, dry_run: bool = False) -> dict:
     """O2/O3: act on the gate.
 
     Dry run: only the one-row gate aggregate is computed; nothing is written.
-    Real run: the samples are written ONCE to a staging folder in the shared
-    directory while an ``Observation`` collects the gate counts in the same
-    pass over the chats; only a ready run is then published (from the staged
-    samples, not from the chats) as partition ``run_id`` of ``sink_path``."""
+    Real run: the extracted feedback rows are written ONCE to a staging folder
+    in the shared directory (the only pass over the chat documents); the gate
+    is computed from that staged table, and only a ready run is cleaned,
+    labelled and published from it as partition ``run_id`` of ``sink_path``."""
     if dry_run or not sink_path:
         return run.status.first().asDict()
-    from pyspark.sql import Observation
-
-    from rewardloom.session import scratch_path
+    from rewardloom.session import materialize
     from rewardloom.sources.snapshot import write_snapshot
 
-    obs = Observation(f"gate_{run.run_id}")
-    fb = run.feedback.observe(obs, F.count(F.lit(1)).alias("extracted"),
-                              F.count_if(C.keep_after_cleaning()).alias("cleaned"))
-    samples = R.reward_samples(C.clean_feedback(fb), run.settings).drop("seq")
-    spark = samples.sparkSession
-    staging = scratch_path(spark, f"run-{run.run_id}")
-    samples.write.parquet(staging)
-    m = obs.get
-    st = {"run_id": run.run_id, "extracted": int(m["extracted"]), "cleaned": int(m["cleaned"]),
-          "samples": int(m["cleaned"])}
-    st["status"] = _status(st["extracted"], st["samples"], run.settings.min_feedback_samples)
+    staged = materialize(run.feedback, f"run-{run.run_id}")
+    st = gate_counts(staged, run.run_id, run.settings).first().asDict()
     if st["status"] == READY:
-        write_snapshot(spark.read.parquet(staging), sink_path, run.run_id)
+        samples = R.reward_samples(C.clean_feedback(staged), run.settings).drop("seq")
+        write_snapshot(samples, sink_path, run.run_id)
         st["written"] = sink_path
     return st
 

@@ -50,7 +50,7 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert dry["status"] == "ready" and "written" not in dry
     st = O.execute_run(run, sink_path=path)
     assert st["written"] == path
-    assert {k: st[k] for k in dry} == dry            # observed counts == gate aggregate
+    assert {k: st[k] for k in dry} == dry            # staged gate == lazy gate
     assert spark.read.parquet(path).where(F.col("run_id") == "t").count() == st["samples"]
 
 
