@@ -75,11 +75,11 @@ def dataset_card(spark, sf):
 
 
 def _staged_stream(spark, sf, name):
-    """The staged chat folder (8 files) read as a file stream, 2 files per
+    """The staged chat folder (8 files) read as a file stream, 4 files per
     micro-batch; output and checkpoint go to a fresh folder per run."""
     _, users = chat_and_users(spark, sf)
     base = scratch_path(spark, name)
-    return ST.chat_stream(spark, chat_path(spark, sf), max_files_per_trigger=2), users, base
+    return ST.chat_stream(spark, chat_path(spark, sf), max_files_per_trigger=4), users, base
 
 
 @query("stream_extract", """

@@ -107,3 +107,26 @@ def test_score_is_margin_brute_force(spark):
     # the fit separates its own training pairs better than chance
     m = P.pair_metrics(SC.score_pairs(pairs, model), by=()).first()
     assert m.accuracy > 0.5
+
+
+def test_late_older_rating_wins_retroactively(spark):
+    """Run 1 sees a newer rating of a (question, answer) key; an older rating
+    of the same key lands later in the same folder and is picked up by the
+    next run on the same checkpoint: the published table switches to it."""
+    def doc(rating, ts):
+        return ('{"history":{"messages":{"q":{"role":"user","content":"Same Q"},'
+                '"a":{"role":"assistant","parentId":"q","content":"Same A","timestamp":%d,'
+                '"annotation":{"rating":%d}}}}}' % (ts, rating))
+    users = spark.createDataFrame([(1, "u@x")], "id bigint, email string")
+    base = scratch_path(spark, "t-late")
+    schema = "id bigint, user_id bigint, chat string"
+    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/ckpt"
+    spark.createDataFrame([(1, 1, doc(5, 2000))], schema).coalesce(1).write.parquet(landing)
+    ST.start_reward_cache(ST.chat_stream(spark, landing), users, out, ckpt).awaitTermination()
+    first = ST.read_reward_table(spark, out).collect()
+    assert [(r.key, r.reward, r.n_ratings) for r in first] == [("same q|||same a", 1.0, 1)]
+    spark.createDataFrame([(2, 1, doc(1, 1000))], schema).coalesce(1).write.mode("append").parquet(landing)
+    ST.start_reward_cache(ST.chat_stream(spark, landing), users, out, ckpt).awaitTermination()
+    after = ST.read_reward_table(spark, out).collect()
+    assert [(r.key, r.reward, r.n_ratings) for r in after] == [("same q|||same a", -1.0, 2)]
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 2
