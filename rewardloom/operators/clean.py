@@ -3,7 +3,7 @@ semantics expressed as built-in column expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from rewardloom.functions.text import coerce_numeric, ustrip
 
@@ -52,16 +52,30 @@ def rating_mean(df: DataFrame) -> DataFrame:
     return df.agg(F.avg("rating").alias("mean_rating"), F.count("rating").alias("n"))
 
 
-def feedback_shape(df: DataFrame) -> DataFrame:
-    """One row per input column — position, type, non-null count — plus
-    the total row count, from a single aggregation pass."""
-    fields = df.schema.fields
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}") for i, f in enumerate(fields)])
+def _as_text(c, dtype) -> "F.Column":
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_seconds(F.col(c)).cast("string")      # zone-free rendering
+    return F.col(c).cast("string")
+
+
+def feedback_shape(df: DataFrame, order_col: str | None = None,
+                   preview_chars: int = 100) -> DataFrame:
+    """One row per input column — position, type, non-null count, the
+    total row count and (with ``order_col``) the first row's value in that
+    order cut to ``preview_chars`` — all from a single aggregation pass."""
+    fields = [f for f in df.schema.fields if f.name != order_col]
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    aggs += [F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}") for i, f in enumerate(fields)]
+    if order_col:
+        first = F.struct(*[_as_text(f"`{f.name}`", f.dataType).alias(f"v{i}") for i, f in enumerate(fields)])
+        aggs.append(F.min_by(first, order_col).alias("__first"))
+    counts = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
                               F.lit(i).alias("position"),
                               F.lit(f.dataType.simpleString()).alias("data_type"),
                               F.col(f"__nn{i}").alias("non_null"),
-                              F.col("__rows").alias("n_rows"))
+                              F.col("__rows").alias("n_rows"),
+                              (F.left(F.col(f"__first.v{i}"), F.lit(preview_chars)) if order_col
+                               else F.lit(None).cast("string")).alias("first_value"))
                      for i, f in enumerate(fields)])
     return counts.select(F.inline(rows))

@@ -99,7 +99,7 @@ def unrated_filter(exploded: DataFrame) -> DataFrame:
 
 
 # -- E8 ----------------------------------------------------------------------
-def _as_of_col(as_of) -> Column:
+def as_of_col(as_of) -> Column:
     if as_of is None:
         return F.current_timestamp()
     if isinstance(as_of, Column):
@@ -117,7 +117,7 @@ def recency_filter(df: DataFrame, days_back: int | None, as_of=None,
     (None or 0) means no cutoff, so undated rows stay."""
     if not days_back:
         return df
-    cutoff = _as_of_col(as_of) - F.make_dt_interval(F.lit(int(days_back)))
+    cutoff = as_of_col(as_of) - F.make_dt_interval(F.lit(int(days_back)))
     return df.where(F.col(ts_col) > cutoff)
 
 

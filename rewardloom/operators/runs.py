@@ -54,7 +54,7 @@ def window_gates(feedback: DataFrame, days: list[int], as_of,
     """O2 for several ``days_back`` windows at once (0 = no cutoff): one
     aggregation with a conditional count per window, then one row each."""
     ok = C.keep_after_cleaning()
-    as_of_c = E._as_of_col(as_of)
+    as_of_c = E.as_of_col(as_of)
     aggs = []
     for i, d in enumerate(days):
         inside = (F.lit(True) if not d else

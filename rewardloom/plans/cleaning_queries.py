@@ -67,13 +67,23 @@ _SHAPE_COLS = [("email", "string"), ("model", "string"), ("datetime", "timestamp
 _SHAPE_SRC = {"datetime": "epoch", "answer": "content"}
 
 
-@query("feedback_shape", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, {i} AS position, '{t}' AS data_type, "
-    f"count({_SHAPE_SRC.get(c, c)}) AS non_null, count(*) AS n_rows FROM fx_feedback"
-    for i, (c, t) in enumerate(_SHAPE_COLS)))
+def _shape_sql() -> str:
+    first = "(SELECT * FROM fx_feedback ORDER BY epoch DESC NULLS FIRST, chat_id, turn LIMIT 1)"
+    parts = []
+    for i, (c, t) in enumerate(_SHAPE_COLS):
+        src = _SHAPE_SRC.get(c, c)
+        parts.append(
+            f"SELECT '{c}' AS column_name, {i} AS position, '{t}' AS data_type, "
+            f"(SELECT count({src}) FROM fx_feedback) AS non_null, "
+            f"(SELECT count(*) FROM fx_feedback) AS n_rows, "
+            f"(SELECT left(CAST({src} AS VARCHAR), 100) FROM {first}) AS first_value")
+    return " UNION ALL ".join(parts)
+
+
+@query("feedback_shape", _shape_sql())
 def feedback_shape(spark, sf):
-    fb = feedback(spark, sf).select([c for c, _ in _SHAPE_COLS])
-    return C.feedback_shape(fb)
+    fb = feedback(spark, sf).select([c for c, _ in _SHAPE_COLS] + ["seq"])
+    return C.feedback_shape(fb, order_col="seq")
 
 
 # -- rewards ------------------------------------------------------------------
