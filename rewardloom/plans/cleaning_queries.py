@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rewardloom.operators import clean as C, extract as E, rewards as R
-from rewardloom.plans.inputs import chat_and_users, epoch_of, rated
+from rewardloom.plans.inputs import chat_and_users, epoch_of, rated, responses
 from rewardloom.plans.oracle import key as okey, ustrip
 from rewardloom.plans.registry import query
 from rewardloom.sources import fixtures as fx
@@ -133,7 +133,7 @@ def reward_cache(spark, sf):
 
 def _scored(spark, sf):
     cache = R.build_reward_cache(R.reward_samples(rated(spark, sf, dup=True)))
-    return R.compute_rewards(fx.responses_table(spark, sf), cache)
+    return R.compute_rewards(responses(spark, sf), cache)
 
 
 @query("compute_rewards", """

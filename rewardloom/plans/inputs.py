@@ -12,7 +12,7 @@ from rewardloom.functions.order import seq_col
 from rewardloom.sources import fixtures as fx
 
 
-STAGE_VERSION = "chat-v1"
+STAGE_VERSION = "v2"
 
 
 def _fingerprint(sf_dir: str, *tables: str) -> str:
@@ -40,11 +40,32 @@ def chat_and_users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return read_chat(spark, chat_path(spark, sf_dir)), fx.user_table(spark, sf_dir)
 
 
+def _staged(spark: SparkSession, sf_dir: str, name: str, build, *tables: str) -> DataFrame:
+    return spark.read.parquet(staged_path(spark, name, _fingerprint(sf_dir, *tables),
+                                          build, files=8))
+
+
+def rated_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_rated (documents joined with labels), staged once per input."""
+    return _staged(spark, sf_dir, "rated", lambda: fx.rated_table(spark, sf_dir),
+                   "documents", "labels")
+
+
 def rated(spark: SparkSession, sf_dir: str, dup: bool = False) -> DataFrame:
     """fx_rated(_dup) with its source-order column (doc_id plays chat_id)."""
-    df = fx.rated_dup_table(spark, sf_dir) if dup else fx.rated_table(spark, sf_dir)
+    base = rated_base(spark, sf_dir)
+    df = fx.with_duplicates(base) if dup else base
     return df.withColumn("seq", seq_col("epoch", "doc_id", F.lit(0)))
 
 
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.responses_from(rated_base(spark, sf_dir))
+
+
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt corpus (every document text plus one blank), staged."""
+    return _staged(spark, sf_dir, "prompts", lambda: fx.prompt_table(spark, sf_dir), "documents")
+
+
 def epoch_of(col: str, name: str | None = None):
     return F.unix_seconds(col).alias(name or f"{col}_epoch")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rewardloom.operators import prompts as D
 from rewardloom.plans.oracle import tokens, vocab_sql
 from rewardloom.plans.registry import query
+from rewardloom.plans.inputs import prompts, rated_base, responses
 from rewardloom.session import materialize
 from rewardloom.sources import fixtures as fx
 
@@ -17,7 +18,7 @@ def ids_text(c: str):
 
 
 def _prompts(spark, sf):
-    return D.unique_prompts(fx.prompt_table(spark, sf), "prompt")
+    return D.unique_prompts(prompts(spark, sf), "prompt")
 
 
 def _encoded(spark, sf):
@@ -103,7 +104,6 @@ FROM rt r LEFT JOIN (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS respo
                      FROM kept GROUP BY doc_id) a USING (doc_id)
 WHERE len(r.qt) + len(r.t) > 0""")
 def decode_responses(spark, sf):
-    rated = fx.rated_table(spark, sf)
-    texts = rated.select(F.explode(F.array("question", "answer")).alias("txt"))
+    texts = rated_base(spark, sf).select(F.explode(F.array("question", "answer")).alias("txt"))
     vocab = materialize(D.build_vocab(texts, "txt"), "vocab")
-    return D.decode_responses(fx.responses_table(spark, sf), vocab)
+    return D.decode_responses(responses(spark, sf), vocab)

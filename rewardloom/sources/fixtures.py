@@ -88,9 +88,12 @@ def rated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rated_dup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_duplicates(rated_table(spark, sf_dir))
+
+
+def with_duplicates(r: DataFrame) -> DataFrame:
     """Every rated row plus a second rating of the same reward key (case and
     padding changed) that is newer, older or undated."""
-    r = rated_table(spark, sf_dir)
     did = F.col("doc_id")
     dup = r.select((did + 1_000_000).alias("doc_id"), F.upper("question").alias("question"),
                    F.concat(F.lit(" "), "answer", F.lit("  ")).alias("answer"),
@@ -102,8 +105,11 @@ def rated_dup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses_from(rated_table(spark, sf_dir))
+
+
+def responses_from(r: DataFrame) -> DataFrame:
     """Generated responses to score: some new, some extended, some verbatim."""
-    r = rated_table(spark, sf_dir)
     did = F.col("doc_id")
     return r.select(
         "doc_id", (did % 3).alias("epoch_no"), F.floor(did / 8).cast("bigint").alias("batch_idx"),
