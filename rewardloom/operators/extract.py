@@ -111,14 +111,29 @@ def as_of_col(as_of) -> Column:
     return F.timestamp_seconds(F.lit(int(as_of)))
 
 
+def _cutoff(days_back: int, as_of) -> Column:
+    return as_of_col(as_of) - F.make_dt_interval(F.lit(int(days_back)))
+
+
 def recency_filter(df: DataFrame, days_back: int | None, as_of=None,
                    ts_col: str = "datetime") -> DataFrame:
     """Keep ``datetime > as_of - days_back days``; a falsy ``days_back``
     (None or 0) means no cutoff, so undated rows stay."""
     if not days_back:
         return df
-    cutoff = as_of_col(as_of) - F.make_dt_interval(F.lit(int(days_back)))
-    return df.where(F.col(ts_col) > cutoff)
+    return df.where(F.col(ts_col) > _cutoff(days_back, as_of))
+
+
+def recent_chats(chat: DataFrame, days_back: int | None, as_of=None) -> DataFrame:
+    """Chat-level pre-filter for a cutoff: a chat holding a message newer than
+    the cutoff was updated after it, so ``updated_at IS NULL OR updated_at >
+    cutoff`` keeps every chat that can contribute.  Unlike the message time
+    (inside the JSON) this column reaches the scan: parquet row groups and
+    partitions of old chats are skipped and never parsed."""
+    if not days_back or "updated_at" not in chat.columns:
+        return chat
+    cut = F.unix_seconds(_cutoff(days_back, as_of))
+    return chat.where(F.col("updated_at").isNull() | (F.col("updated_at") > cut))
 
 
 # -- ordering helpers (E9 / E10) ---------------------------------------------
@@ -140,6 +155,7 @@ def top_n(df: DataFrame, n: int) -> DataFrame:
 def feedback_rows(chat: DataFrame, users: DataFrame, days_back: int | None = None,
                   as_of=None) -> DataFrame:
     """Unsorted feedback rows with identity and ``seq`` columns."""
+    chat = recent_chats(chat, days_back, as_of)
     rows = message_fields(rated_filter(explode_messages(chat)))
     rows = recency_filter(rows, days_back, as_of)
     rows = join_user(rows, users)

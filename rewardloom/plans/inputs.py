@@ -12,7 +12,7 @@ from rewardloom.functions.order import seq_col
 from rewardloom.sources import fixtures as fx
 
 
-STAGE_VERSION = "v2"
+STAGE_VERSION = "v3"
 
 
 def _fingerprint(sf_dir: str, *tables: str) -> str:

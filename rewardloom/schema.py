@@ -2,12 +2,15 @@
 
 from pyspark.sql import types as T
 
-# chat table: one row per chat, the whole conversation as JSON text
+# chat table: one row per chat, the whole conversation as JSON text, plus the
+# optional last-update time (epoch seconds; NULL when the source lacks it)
 CHAT = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("user_id", T.LongType()),
     T.StructField("chat", T.StringType()),
+    T.StructField("updated_at", T.LongType()),
 ])
+OPTIONAL_COLUMNS = {"updated_at"}
 
 USER = T.StructType([
     T.StructField("id", T.LongType()),

@@ -51,7 +51,9 @@ def _annotation_json(h, chat_id):
 
 
 def chat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, user_id, chat`` with chat = {"history":{"messages":{"m0":{..},..}}}."""
+    """``id, user_id, chat, updated_at`` with chat =
+    {"history":{"messages":{"m0":{..},..}}} and updated_at = the chat's newest
+    message time (as a chat system bumps it on every message)."""
     m = message_rows(spark, sf_dir)
     body = F.to_json(F.struct(
         F.col("role"),
@@ -64,14 +66,16 @@ def chat_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.when(ann.isNull(), body).otherwise(
         F.concat(body.substr(F.lit(1), F.length(body) - 1), F.lit(',"annotation":'), ann, F.lit("}")))
     kv = F.concat(F.lit('"m'), F.col("turn").cast("string"), F.lit('":'), entry)
-    docs = (m.select("chat_id", "user_id", "turn", kv.alias("kv"))
+    docs = (m.select("chat_id", "user_id", "turn", "epoch", kv.alias("kv"))
              .groupBy("chat_id", "user_id")
-             .agg(F.sort_array(F.collect_list(F.struct("turn", "kv"))).alias("items")))
+             .agg(F.sort_array(F.collect_list(F.struct("turn", "kv"))).alias("items"),
+                  F.max("epoch").alias("updated_at")))
     return docs.select(
         F.col("chat_id").alias("id"), "user_id",
         F.concat(F.lit('{"history":{"messages":{'),
                  F.array_join(F.transform("items", lambda e: e["kv"]), ","),
-                 F.lit("}}}")).alias("chat"))
+                 F.lit("}}}")).alias("chat"),
+        "updated_at")
 
 
 def rated_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,15 @@ from rewardloom import schema as S
 
 
 def _conform(df: DataFrame, struct) -> DataFrame:
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in struct.fields])
+    cols = []
+    for f in struct.fields:
+        if f.name in df.columns:
+            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        elif f.name in S.OPTIONAL_COLUMNS:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+        else:
+            raise ValueError(f"source lacks required column {f.name}")
+    return df.select(cols)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None,
@@ -40,7 +48,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None
 
 
 def read_chat(spark: SparkSession, path: str, fmt: str = "parquet", **kw) -> DataFrame:
-    """The chat table: ``id BIGINT, user_id BIGINT, chat STRING`` (JSON)."""
+    """The chat table: ``id BIGINT, user_id BIGINT, chat STRING`` (JSON) and
+    the optional ``updated_at BIGINT`` (epoch seconds of the last change)."""
     return read_table(spark, path, fmt, S.CHAT, jdbc_table=kw.pop("jdbc_table", "chat"), **kw)
 
 

@@ -42,3 +42,8 @@ def test_scan_prunes_columns(spark):
     text = plan_text(df)
     # conversations has conv_id, turn, role, text: all four are needed; customer only 2 of 5
     assert "c_acctbal" not in text and "c_mktsegment" not in text
+
+
+def test_recency_cutoff_reaches_the_chat_scan(spark):
+    text = plan_text(QUERIES["recent_feedback"](spark, SF01))
+    assert "Or(IsNull(updated_at),GreaterThan(updated_at," in text

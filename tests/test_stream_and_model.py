@@ -78,8 +78,12 @@ def test_chat_source_json_roundtrip(spark):
     path = scratch_path(spark, "t-json")
     chat.write.json(path)
     back = read_chat(spark, path, fmt="json")
-    assert back.schema.simpleString() == "struct<id:bigint,user_id:bigint,chat:string>"
+    assert back.schema.simpleString() == "struct<id:bigint,user_id:bigint,chat:string,updated_at:bigint>"
     assert sorted(back.collect()) == sorted(chat.collect())
+    # a source without the optional column still reads, with NULL there
+    chat.drop("updated_at").write.json(path + "-min")
+    back = read_chat(spark, path + "-min", fmt="json")
+    assert back.where("updated_at IS NOT NULL").count() == 0 and back.count() == chat.count()
 
 
 def test_external_scorer_hook(spark):
