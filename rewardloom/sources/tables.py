@@ -56,3 +56,9 @@ def read_chat(spark: SparkSession, path: str, fmt: str = "parquet", **kw) -> Dat
 def read_users(spark: SparkSession, path: str, fmt: str = "parquet", **kw) -> DataFrame:
     """The user table: ``id BIGINT, email STRING``."""
     return read_table(spark, path, fmt, S.USER, jdbc_table=kw.pop("jdbc_table", '"user"'), **kw)
+
+
+def read_sources(spark: SparkSession, chat_path: str, user_path: str, fmt: str = "parquet",
+                 **kw) -> tuple[DataFrame, DataFrame]:
+    """The (chat, user) pair with fixed schemas, from one format."""
+    return read_chat(spark, chat_path, fmt, **kw), read_users(spark, user_path, fmt, **kw)
