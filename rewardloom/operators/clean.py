@@ -67,7 +67,10 @@ def feedback_shape(df: DataFrame, order_col: str | None = None,
     aggs = [F.count(F.lit(1)).alias("__rows")]
     aggs += [F.count(F.col(f"`{f.name}`")).alias(f"__nn{i}") for i, f in enumerate(fields)]
     if order_col:
-        first = F.struct(*[_as_text(f"`{f.name}`", f.dataType).alias(f"v{i}") for i, f in enumerate(fields)])
+        # values are cut BEFORE the aggregate: each partition's partial result
+        # then carries at most preview_chars per column into the final task
+        first = F.struct(*[F.left(_as_text(f"`{f.name}`", f.dataType), F.lit(preview_chars)).alias(f"v{i}")
+                           for i, f in enumerate(fields)])
         aggs.append(F.min_by(first, order_col).alias("__first"))
     counts = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
@@ -75,7 +78,7 @@ def feedback_shape(df: DataFrame, order_col: str | None = None,
                               F.lit(f.dataType.simpleString()).alias("data_type"),
                               F.col(f"__nn{i}").alias("non_null"),
                               F.col("__rows").alias("n_rows"),
-                              (F.left(F.col(f"__first.v{i}"), F.lit(preview_chars)) if order_col
+                              (F.col(f"__first.v{i}") if order_col
                                else F.lit(None).cast("string")).alias("first_value"))
                      for i, f in enumerate(fields)])
     return counts.select(F.inline(rows))
