@@ -27,8 +27,8 @@ def skew_safe_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner
                    salts: int = 64, hot_share: float = 0.001) -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("skew_safe_join supports inner and left joins (big side kept)")
-    total = big.select(F.count(F.lit(1))).scalar()
     counts = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()       # reuses the counts aggregate, no extra scan
     hot = counts.where(F.col("_n") > total * F.lit(hot_share)).select(key, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)      # at most 1 / hot_share rows
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
