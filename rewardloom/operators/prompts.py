@@ -34,8 +34,8 @@ def unique_prompts(df: DataFrame, col: str = "question") -> DataFrame:
 
 # -- D2 ----------------------------------------------------------------------
 def build_vocab(texts: DataFrame, col: str) -> DataFrame:
-    """token, token_id, n: ids 0-2 are <pad>, </s>, <unk>; corpus tokens
-    follow by (count desc, token asc).  Counting is a partial aggregate, so
+    """token, token_id, n: ids 0-2 are <pad>, </s>, <unk> (n = 0); corpus
+    tokens follow by (count desc, token asc).  Counting is a partial aggregate, so
     frequent tokens are combined map-side."""
     toks = texts.select(F.explode(corpus_tokens(F.col(col))).alias("token"))
     counts = (toks.where(~F.col("token").isin(*SPECIAL_TOKENS))
@@ -43,7 +43,7 @@ def build_vocab(texts: DataFrame, col: str) -> DataFrame:
     ranked = sequential_index(counts, [F.col("n").desc(), F.col("token").asc()],
                               name="token_id", start=len(SPECIAL_TOKENS))
     specials = texts.sparkSession.createDataFrame(
-        [(t, i, None) for i, t in enumerate(SPECIAL_TOKENS)], "token string, token_id bigint, n bigint")
+        [(t, i, 0) for i, t in enumerate(SPECIAL_TOKENS)], "token string, token_id bigint, n bigint")
     return ranked.select("token", "token_id", "n").unionByName(specials)
 
 

@@ -43,7 +43,8 @@ def strip_blank(spark, sf):
 
 
 @query("clean_feedback", """
-SELECT chat_id, msg_pos, email, model, epoch, rating, reason, comment, question, answer FROM fx_clean""")
+SELECT chat_id, msg_pos, email, model, CAST(epoch AS DOUBLE) AS epoch, rating, reason, comment, question, answer
+FROM fx_clean""")
 def clean_feedback(spark, sf):
     return cleaned(spark, sf).select("chat_id", "msg_pos", "email", "model", epoch_of("datetime", "epoch"),
                                      "rating", "reason", "comment", "question", "answer")

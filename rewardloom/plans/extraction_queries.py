@@ -49,8 +49,8 @@ def message_fields(spark, sf):
 
 
 @query("message_time", """
-SELECT chat_id, msg_pos, epoch,
-       strftime(make_timestamp(epoch * CAST(1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS utc_text
+SELECT chat_id, msg_pos, CAST(epoch AS DOUBLE) AS epoch,
+       strftime(make_timestamp(fx_msg.epoch * CAST(1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS utc_text
 FROM fx_msg""")
 def message_time(spark, sf):
     chat, _ = chat_and_users(spark, sf)
@@ -59,7 +59,7 @@ def message_time(spark, sf):
     epoch = F.unix_seconds(ts)
     # rendered from the epoch on a zone-free timestamp: independent of the session zone
     utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=epoch)
-    return ex.select("chat_id", "msg_pos", epoch.alias("epoch"),
+    return ex.select("chat_id", "msg_pos", epoch.cast("double").alias("epoch"),
                      F.date_format(utc, "yyyy-MM-dd HH:mm:ss").alias("utc_text"))
 
 
@@ -97,7 +97,7 @@ def unrated_messages(spark, sf):
 
 
 @query("recent_feedback", f"""
-SELECT {FEEDBACK_SQL}, epoch FROM fx_feedback
+SELECT {FEEDBACK_SQL}, CAST(epoch AS DOUBLE) AS epoch FROM fx_feedback
 WHERE epoch > {AS_OF_EPOCH} - {DAYS_BACK} * 86400""")
 def recent_feedback(spark, sf):
     chat, users = chat_and_users(spark, sf)
@@ -106,7 +106,8 @@ def recent_feedback(spark, sf):
 
 
 @query("feedback_sorted", """
-SELECT chat_id, msg_pos, epoch FROM fx_feedback ORDER BY epoch DESC NULLS FIRST, chat_id, turn""")
+SELECT chat_id, msg_pos, CAST(epoch AS DOUBLE) AS epoch FROM fx_feedback
+ORDER BY epoch DESC NULLS FIRST, chat_id, turn""")
 def feedback_sorted(spark, sf):
     chat, users = chat_and_users(spark, sf)
     return E.extract_feedback(chat, users).select("chat_id", "msg_pos", epoch_of("datetime", "epoch"))
@@ -114,8 +115,9 @@ def feedback_sorted(spark, sf):
 
 def _unrated_sql(n: int) -> str:
     return f"""
-SELECT chat_id, msg_pos, message_id, email, model, epoch, question, content AS answer
-FROM fx_unrated ORDER BY epoch DESC NULLS FIRST, chat_id, turn LIMIT {n}"""
+SELECT chat_id, msg_pos, message_id, email, model, CAST(epoch AS DOUBLE) AS epoch, question,
+       content AS answer
+FROM fx_unrated ORDER BY fx_unrated.epoch DESC NULLS FIRST, chat_id, turn LIMIT {n}"""
 
 
 def _unrated_out(df):
@@ -130,7 +132,7 @@ def unrated_topn(spark, sf):
 
 
 @query("extract_feedback", f"""
-SELECT {FEEDBACK_SQL}, epoch FROM fx_feedback""")
+SELECT {FEEDBACK_SQL}, CAST(epoch AS DOUBLE) AS epoch FROM fx_feedback""")
 def extract_feedback(spark, sf):
     chat, users = chat_and_users(spark, sf)
     return _feedback_out(E.extract_feedback(chat, users))

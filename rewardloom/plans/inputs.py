@@ -68,4 +68,6 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def epoch_of(col: str, name: str | None = None):
-    return F.unix_seconds(col).alias(name or f"{col}_epoch")
+    """Comparable rendering of a timestamp: epoch seconds as DOUBLE, so a
+    NULL-bearing column has one type on both engines and in pandas."""
+    return F.unix_seconds(col).cast("double").alias(name or f"{col}_epoch")

@@ -151,4 +151,4 @@ SELECT token, CAST(row_number() OVER (ORDER BY n DESC, token) + 2 AS BIGINT) AS
 FROM (SELECT token, count(*) AS n
       FROM (SELECT unnest({tokens('txt')}) AS token FROM ({source}))
       WHERE token NOT IN ('<pad>', '</s>', '<unk>') GROUP BY token)
-UNION ALL SELECT '<pad>', 0, NULL UNION ALL SELECT '</s>', 1, NULL UNION ALL SELECT '<unk>', 2, NULL"""
+UNION ALL SELECT '<pad>', 0, 0 UNION ALL SELECT '</s>', 1, 0 UNION ALL SELECT '<unk>', 2, 0"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rewardloom.operators import runs as O
-from rewardloom.plans.inputs import chat_and_users, chat_path
+from rewardloom.plans.inputs import chat_and_users, chat_path, epoch_of
 from rewardloom.plans.oracle import key as okey
 from rewardloom.plans.registry import query
 from rewardloom.session import scratch_path
@@ -84,14 +84,14 @@ def _staged_stream(spark, sf, name):
 
 @query("stream_extract", """
 SELECT chat_id, msg_pos, message_id, role, email, model, rating, reason, comment, question,
-       content AS answer, epoch FROM fx_feedback""")
+       content AS answer, CAST(epoch AS DOUBLE) AS epoch FROM fx_feedback""")
 def stream_extract(spark, sf):
     chats, users, base = _staged_stream(spark, sf, "stream-extract")
     q = ST.start_extract(chats, users, f"{base}/out", f"{base}/ckpt")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     return out.select("chat_id", "msg_pos", "message_id", "role", "email", "model", "rating",
-                      "reason", "comment", "question", "answer", F.unix_seconds("datetime").alias("epoch"))
+                      "reason", "comment", "question", "answer", epoch_of("datetime", "epoch"))
 
 
 @query("stream_reward_cache", f"""
