@@ -88,16 +88,21 @@ def weights(model: PipelineModel) -> list[float]:
 def select_reg_param(pairs_with_split: DataFrame, candidates=(0.0, 0.01, 0.1), **kw):
     """Fit one model per candidate on the train side, keep the lowest
     held-out pair loss.  Returns (best model, metrics DataFrame)."""
+    from pyspark import StorageLevel
+    pairs_with_split = pairs_with_split.persist(StorageLevel.MEMORY_AND_DISK)  # one lineage for all fits
     train = pairs_with_split.where(F.col("split") == "train")
     test = pairs_with_split.where(F.col("split") == "test")
     results, best = [], None
-    for reg in candidates:
-        m = fit_reward_model(train, reg_param=reg, **kw)
-        met = pair_metrics(score_pairs(test, m), by=()).first()
-        row = (float(reg), met["accuracy"], met["loss"], int(met["n_pairs"]))
-        results.append(row)
-        if best is None or (row[2] is not None and (best[1][2] is None or row[2] < best[1][2])):
-            best = (m, row)
+    try:
+        for reg in candidates:
+            m = fit_reward_model(train, reg_param=reg, **kw)
+            met = pair_metrics(score_pairs(test, m), by=()).first()
+            row = (float(reg), met["accuracy"], met["loss"], int(met["n_pairs"]))
+            results.append(row)
+            if best is None or (row[2] is not None and (best[1][2] is None or row[2] < best[1][2])):
+                best = (m, row)
+    finally:
+        pairs_with_split.unpersist()
     spark = pairs_with_split.sparkSession
     table = spark.createDataFrame(results, "reg_param double, accuracy double, loss double, n_pairs bigint")
     return best[0], table
