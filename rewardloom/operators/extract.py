@@ -29,22 +29,33 @@ UNRATED_COLUMNS = ["chat_id", "message_id", "email", "model", "datetime", "quest
 
 
 # -- E1 ----------------------------------------------------------------------
-def explode_messages(chat: DataFrame, keep_map: bool = True) -> DataFrame:
+def explode_messages(chat: DataFrame, keep_map: bool = False) -> DataFrame:
     """One row per message in document order.
 
-    Output: chat_id, user_id, [msgs], msg_pos, message_id, raw (message JSON
-    text).  Chats whose ``history.messages`` is missing, not an object or
-    malformed give no rows (see ``extract_profile`` for the count).
+    Output: chat_id, user_id, msg_pos, message_id, raw (message JSON text),
+    parent_raw (the parent message's JSON text, looked up by ``parentId`` in
+    the same chat) [, msgs].  The parent is resolved inside the message array
+    *before* the explode, so exploded rows carry their own text and their
+    parent's — linear in the chat size — rather than the whole message map
+    per row, which is quadratic for long chats (the JSON parses that follow
+    are not whole-stage compiled, so rows are materialised between them).
+    Chats whose ``history.messages`` is missing, not an object or malformed
+    give no rows (see ``extract_profile`` for the count).
     ``posexplode_outer`` + ``message_id IS NOT NULL`` keeps the chat document
     parsed exactly once in the optimized plan.
     """
     doc = F.from_json(F.col("chat"), S.CHAT_DOC_DDL)
     parsed = chat.select(F.col("id").alias("chat_id"), "user_id",
                          doc["history"]["messages"].alias("msgs"))
-    out = parsed.select("chat_id", "user_id", "msgs",
-                        F.posexplode_outer("msgs").alias("msg_pos", "message_id", "raw"))
-    out = out.where(F.col("message_id").isNotNull())
-    return out if keep_map else out.drop("msgs")
+    entries = F.transform(F.map_entries("msgs"), lambda e: F.struct(
+        e["key"].alias("message_id"), e["value"].alias("raw"),
+        F.col("msgs")[F.get_json_object(e["value"], "$.parentId")].alias("parent_raw")))
+    keep = ["msgs"] if keep_map else []
+    out = parsed.select("chat_id", "user_id", *keep,
+                        F.posexplode_outer(entries).alias("msg_pos", "e"))
+    out = out.where(F.col("e").isNotNull())
+    return out.select("chat_id", "user_id", *keep, "msg_pos", F.col("e.message_id").alias("message_id"),
+                      F.col("e.raw").alias("raw"), F.col("e.parent_raw").alias("parent_raw"))
 
 
 # -- E2 / E3 / E4 ------------------------------------------------------------
@@ -59,12 +70,12 @@ def message_time(ts_text: Column) -> Column:
 
 def message_fields(exploded: DataFrame) -> DataFrame:
     """E2–E4 over exploded messages: parse each message once, its annotation
-    once, and look up the parent's content in the same chat's map.  Each
-    parse gets its own projection so the optimizer keeps one parse per
-    value instead of one per extracted field."""
+    once and its parent (resolved before the explode) once.  Each parse gets
+    its own projection so the optimizer keeps one parse per value instead of
+    one per extracted field."""
     staged = exploded.select("*", _message_struct(F.col("raw")).alias("m"))
     staged = staged.select("*", F.from_json(F.col("m.annotation"), S.ANNOTATION).alias("a"),
-                           F.from_json(F.col("msgs")[F.col("m.parentId")], S.PARENT_DDL).alias("p"))
+                           F.from_json(F.col("parent_raw"), S.PARENT_DDL).alias("p"))
     return staged.select(
         "chat_id", "user_id", "msg_pos", "message_id",
         F.col("m.role").alias("role"), F.col("m.model").alias("model"),
@@ -218,6 +229,6 @@ def feedback_preview(feedback: DataFrame, n: int = DEFAULT_SETTINGS.preview_rows
 def raw_message_sample(chat: DataFrame, chars: int = DEFAULT_SETTINGS.raw_preview_chars) -> DataFrame:
     """E14 (raw): one annotated message's JSON text cut to ``chars``; the first
     by (chat id, position) so the sample is deterministic."""
-    ex = rated_filter(explode_messages(chat, keep_map=False))
+    ex = rated_filter(explode_messages(chat))
     return (ex.orderBy("chat_id", "msg_pos").limit(1)
               .select("chat_id", "msg_pos", F.left("raw", F.lit(chars)).alias("raw_preview")))
