@@ -198,21 +198,21 @@ def extract_unrated(chat: DataFrame, users: DataFrame,
 def extract_profile(chat: DataFrame) -> DataFrame:
     """E13 in one aggregation pass (no user join, as in the source):
     chats, annotated messages (JSON-null annotations among them), chats whose
-    message map could not be read, and timestamps that are not integers."""
+    message map could not be read, and timestamps that are not integers.
+    The bad-chat flag is computed per chat before the explode, so exploded
+    rows carry a boolean rather than the chat text or its message map."""
     doc = F.from_json(F.col("chat"), S.CHAT_DOC_DDL)
-    per_chat = chat.select(doc["history"]["messages"].alias("msgs"), F.col("chat"))
-    ex = per_chat.select("msgs", "chat",
-                         F.posexplode_outer("msgs").alias("msg_pos", "message_id", "raw"))
+    per_chat = chat.select(doc["history"]["messages"].alias("msgs"), F.col("chat").isNotNull().alias("has_doc"))
+    per_chat = per_chat.select("msgs", (F.col("msgs").isNull() & F.col("has_doc")).alias("bad"))
+    ex = per_chat.select("bad", F.posexplode_outer("msgs").alias("msg_pos", "message_id", "raw"))
     annotated = has_key(F.col("raw"), "annotation")
     parsed = F.from_json(F.col("raw"), "annotation string, timestamp string")
-    ex = ex.select("msgs", "chat", "msg_pos", "raw", annotated.alias("annotated"),
-                   parsed.alias("p"))
+    ex = ex.select("bad", "msg_pos", annotated.alias("annotated"), parsed.alias("p"))
     return ex.agg(
         F.count_if(F.coalesce(F.col("msg_pos") == 0, F.lit(True))).alias("chats"),
         F.count_if("annotated").alias("annotated"),
         F.count_if(F.col("annotated") & F.col("p.annotation").isNull()).alias("annotated_json_null"),
-        F.count_if(F.col("msg_pos").isNull() & F.col("msgs").isNull()
-                   & F.col("chat").isNotNull()).alias("bad_chats"),
+        F.count_if(F.col("msg_pos").isNull() & F.col("bad")).alias("bad_chats"),
         F.count_if(F.col("p.timestamp").isNotNull()
                    & F.col("p.timestamp").try_cast("bigint").isNull()).alias("bad_timestamps"))
 
