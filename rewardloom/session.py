@@ -110,13 +110,20 @@ def staged_path(spark: SparkSession, name: str, fingerprint: str, build, files:
 
     digest = hashlib.sha1(fingerprint.encode()).hexdigest()[:16]
     path = f"{shared_dir(spark).rstrip('/')}/rewardloom/staged/{name}-{digest}"
+    memo = (id(spark), path)
+    if memo in _STAGED:
+        return path
     if not _exists(spark, path):
         df = build()
         if files:
             df = df.repartition(files)
         df.write.mode("overwrite").parquet(path)
+    _STAGED.add(memo)
     return path
 
 
+_STAGED: set = set()   # (session, path) pairs known to hold a completed write
+
+
 def staged(spark: SparkSession, name: str, fingerprint: str, build, files: int = 0):
     return spark.read.parquet(staged_path(spark, name, fingerprint, build, files))
