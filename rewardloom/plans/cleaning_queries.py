@@ -8,7 +8,6 @@ from rewardloom.operators import clean as C, extract as E, rewards as R
 from rewardloom.plans.inputs import chat_and_users, epoch_of, rated, responses
 from rewardloom.plans.oracle import key as okey, ustrip
 from rewardloom.plans.registry import query
-from rewardloom.sources import fixtures as fx
 
 
 def feedback(spark, sf):
