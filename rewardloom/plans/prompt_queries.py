@@ -24,7 +24,9 @@ def _prompts(spark, sf):
 def _encoded(spark, sf):
     up = _prompts(spark, sf)
     # the vocabulary is an artifact used by every encode: written once to the
-    # shared checkpoint folder instead of being re-derived inside each plan
+    # shared checkpoint folder.  A written table has a known size, so the
+    # planner broadcasts the lookup when it is small and the per-prompt
+    # regroup keeps the prompt partitioning (no second shuffle)
     vocab = materialize(D.build_vocab(up, "prompt"), "vocab")
     return D.tokenize_prompts(up, vocab)
 
