@@ -104,8 +104,10 @@ def rated_filter(exploded: DataFrame) -> DataFrame:
 
 
 def unrated_filter(exploded: DataFrame) -> DataFrame:
-    """No ``annotation`` key and role = 'assistant'."""
-    role = F.from_json(F.col("raw"), "role string")["role"]
+    """No ``annotation`` key and role = 'assistant'.  The role is read
+    with a path lookup that streams the message JSON only as far as the
+    field; the survivors are parsed in full afterwards."""
+    role = F.get_json_object(F.col("raw"), "$.role")
     return exploded.where(~has_key(F.col("raw"), "annotation") & (role == F.lit("assistant")))
 
 
