@@ -167,3 +167,15 @@ def test_external_tokenizer_hook(spark):
     assert set(got) == {"k1", "k3"}                       # empty encoding dropped
     assert got["k1"] == ([1, 1, 1], [1, 1, 1])
     assert len(got["k3"][0]) == 128                       # truncated
+
+
+def test_empty_inputs(spark):
+    from rewardloom.operators import runs as O
+    empty_texts = spark.createDataFrame([], "prompt string")
+    up = D.unique_prompts(empty_texts, "prompt")
+    vocab = D.build_vocab(up, "prompt")
+    assert sorted(r.token_id for r in vocab.collect()) == [0, 1, 2]       # specials only
+    enc = D.tokenize_prompts(up, vocab)
+    assert enc.count() == 0 and D.left_pad_batches(enc).count() == 0
+    run = O.feedback_run(chats(spark, []), users(spark), run_id="e")
+    assert O.execute_run(run, dry_run=True)["status"] == "no_feedback"
