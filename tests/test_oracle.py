@@ -33,3 +33,19 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(entry.queries()) == set(QUERIES)
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def duck_small():
+    from tools.oracle_check import connect
+    from tests.conftest import SF001
+    return connect(SF001)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_oracle_smallest(spark, duck_small, name):
+    """The same twins on the smoke-check input (sf0.001)."""
+    from tools.oracle_check import compare
+    from tests.conftest import SF001
+    res = compare(spark, name, SF001, duck_small)
+    assert res["status"] == "match", res
