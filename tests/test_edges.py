@@ -179,3 +179,18 @@ def test_empty_inputs(spark):
     assert enc.count() == 0 and D.left_pad_batches(enc).count() == 0
     run = O.feedback_run(chats(spark, []), users(spark), run_id="e")
     assert O.execute_run(run, dry_run=True)["status"] == "no_feedback"
+
+
+def test_sql_views(spark):
+    from rewardloom.plans.inputs import chat_and_users
+    from rewardloom.plans.views import register_views
+    from tests.conftest import SF01
+    chat, users = chat_and_users(spark, SF01)
+    names = register_views(chat, users, prefix="t_")
+    assert names == ["t_feedback", "t_unrated", "t_clean_feedback", "t_samples", "t_reward_table"]
+    got = spark.sql("SELECT count(*) AS n, count_if(datetime IS NULL) AS undated FROM t_feedback").first()
+    assert (got.n, got.undated) == (391, 28)
+    top = spark.sql("SELECT chat_id, message_id FROM t_unrated ORDER BY datetime DESC NULLS FIRST, "
+                    "chat_id, msg_pos LIMIT 5").collect()
+    assert len(top) == 5
+    assert spark.sql("SELECT count(*) FROM t_samples").first()[0] == 216
