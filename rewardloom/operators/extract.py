@@ -2,15 +2,18 @@
 
 Plan shape (one narrow stage per chat partition, then one shuffle):
 
-    scan chat -> from_json(chat) once -> posexplode_outer(messages)
-      -> cheap key-presence test -> from_json(message) -> parent lookup in
-         the same row's map -> project small columns
+    scan chat [updated_at pre-filter pushed to the scan when a cutoff is set]
+      -> from_json(chat) once -> resolve each message's parent inside the
+         message array -> posexplode_outer
+      -> cheap key-presence test -> from_json(message), from_json(annotation),
+         from_json(parent) once each -> project small columns
+      -> exact cutoff on the message time
       -> join users (broadcast when small, else shuffle of extracted rows only)
-      -> optional cutoff -> sort on ``seq`` only at the very end.
+      -> sort on ``seq`` only at the very end (E9) or top-k (E10).
 
-The parent lookup happens before any exchange, so the message map is never
-shuffled; the user join happens after extraction so the chat documents are
-never shuffled either.
+Exploded rows carry their own and their parent's JSON, never the chat's
+message map; the user join happens after extraction, so chat documents are
+never shuffled.
 """
 
 from __future__ import annotations
