@@ -7,6 +7,11 @@ import public_tokenizers
 from rewardloom.llm.common import documents, ship
 
 
+def op2_cube_mix(spark, sf_dir):
+    from rewardloom.llm.cube import mix
+    return mix(documents(spark, sf_dir)).drop("h")
+
+
 def op6_minimum_bin_slack(spark, sf_dir):
     from rewardloom.llm.packing import pack
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
