@@ -7,6 +7,11 @@ import public_tokenizers
 from rewardloom.llm.common import documents, ship
 
 
+def op1_partial_matching(spark, sf_dir):
+    from rewardloom.llm.ppm import score
+    return score(documents(spark, sf_dir), order=4)
+
+
 def op2_cube_mix(spark, sf_dir):
     from rewardloom.llm.cube import mix
     return mix(documents(spark, sf_dir)).drop("h")
