@@ -17,6 +17,11 @@ def op2_cube_mix(spark, sf_dir):
     return mix(documents(spark, sf_dir)).drop("h")
 
 
+def op3_paragraph_sketch(spark, sf_dir):
+    from rewardloom.llm.iblt import fingerprint
+    return fingerprint(documents(spark, sf_dir))
+
+
 def op6_minimum_bin_slack(spark, sf_dir):
     from rewardloom.llm.packing import pack
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
