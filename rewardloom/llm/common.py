@@ -13,7 +13,8 @@ from rewardloom.session import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"      # a word: a run without the six ASCII white space characters
 
-__all__ = ["WORD", "bounded_sample", "column_or_null", "crc_of_id", "documents", "materialize", "row_hash", "ship", "table"]
+__all__ = ["WORD", "bounded_sample", "column_or_null", "components", "crc_of_id", "documents", "materialize", "row_hash",
+           "salted_join", "ship", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,3 +58,29 @@ def ship(spark: SparkSession) -> None:
 
 
 _SHIPPED: list = []
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 32, how: str = "inner") -> DataFrame:
+    """``big`` with the one row of ``small`` (unique on ``key``) for its key.  A key that holds a third of ``big``
+    meets in ``salts`` tasks: ``small`` is repeated once a salt, the rows of ``big`` are dealt over the salts."""
+    b = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)).cast("int"))
+    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [key, "__salt"], how).drop("__salt")
+
+
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(a, b) links -> (node, root): root is the same for all nodes that links connect.  Each round every node
+    points to its least neighbour, if less than itself, and links move to where their ends point; nodes that
+    nothing links any more are roots.  Rounds are about the logarithm of the longest chain."""
+    edges = materialize(edges.where("a <> b").distinct(), name)
+    found = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+                        .select("node", F.col("node").alias("at")), name)
+    while not edges.isEmpty():
+        both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        to = materialize(both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("to")), name)
+        found = materialize(salted_join(found.withColumnRenamed("at", "a"), to, "a", how="left")
+                            .select("node", F.coalesce("to", "a").alias("at")), name)
+        moved = salted_join(edges, to, "a").select(F.col("to").alias("x"), F.col("b").alias("a"))
+        edges = materialize(salted_join(moved, to, "a").select(F.col("x").alias("a"), F.col("to").alias("b"))
+                            .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), name)
+    return found.select("node", F.col("at").alias("root"))

@@ -27,6 +27,11 @@ def op6_minimum_bin_slack(spark, sf_dir):
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
 
 
+def op8_ngram_bands(spark, sf_dir):
+    from rewardloom.llm.ngram_join import linked
+    return linked(documents(spark, sf_dir)).drop("h", "keeper")
+
+
 def op10_patched_blocks(spark, sf_dir):
     from rewardloom.llm.pfor import encode_and_read
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), "kept")
