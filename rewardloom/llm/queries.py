@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from rewardloom.llm.common import documents, ship
+from rewardloom.llm.common import documents, ship, table
 
 
 def op1_partial_matching(spark, sf_dir):
@@ -32,6 +32,11 @@ def op8_ngram_bands(spark, sf_dir):
     return linked(documents(spark, sf_dir)).drop("h", "keeper")
 
 
+def op9_hilbert_windows(spark, sf_dir):
+    from rewardloom.llm.curves import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op10_patched_blocks(spark, sf_dir):
     from rewardloom.llm.pfor import encode_and_read
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), "kept")
