@@ -22,6 +22,11 @@ def op3_paragraph_sketch(spark, sf_dir):
     return fingerprint(documents(spark, sf_dir))
 
 
+def op4_family_duels(spark, sf_dir):
+    from rewardloom.llm.langid import identify
+    return identify(documents(spark, sf_dir))
+
+
 def op6_minimum_bin_slack(spark, sf_dir):
     from rewardloom.llm.packing import pack
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
