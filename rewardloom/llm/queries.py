@@ -9,7 +9,7 @@ from rewardloom.llm.common import documents, ship, table
 
 def op1_partial_matching(spark, sf_dir):
     from rewardloom.llm.ppm import score
-    return score(documents(spark, sf_dir), order=4)
+    return score(documents(spark, sf_dir), order=5)
 
 
 def op2_cube_mix(spark, sf_dir):
@@ -27,6 +27,11 @@ def op4_family_duels(spark, sf_dir):
     return identify(documents(spark, sf_dir))
 
 
+def op5_boosted_toxicity(spark, sf_dir):
+    from rewardloom.llm.toxicity import score
+    return score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op6_minimum_bin_slack(spark, sf_dir):
     from rewardloom.llm.packing import pack
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
