@@ -1,16 +1,11 @@
-"""Consecutive 0-based row numbers in a global order, without a
-single-partition window.
-
-Range-partition on the order, number rows inside each range partition, then
-add the count of all earlier partitions.  The offsets table has one row per
-partition — its size is bounded by the partition count, not the data, so it
-is safe to broadcast.
-
-The partition sizes and the per-partition numbers are two uses of the same
-range partitioning; its bounds come from sampling the input, so the input is
-first written once to the shared folder (a parquet scan samples the same way
-every time — an aggregate's output order does not).  Retries and re-plans
-then always agree on which range a row belongs to.
+"""Consecutive row numbers in a global order, without a single-partition window.
+
+Range-partition on the order, sort inside each range, and write the rows once with their partition and place
+in it; then add the count of all earlier partitions.  The offsets table has one row per partition: its size is
+bounded by the partition count, not by the data, so it is safe to broadcast.
+
+Range bounds come from a random sample that differs from one evaluation to the next, so the partition sizes and
+the numbers must come from one evaluation: that is why the numbered rows, not the input, are written.
 """
 
 from __future__ import annotations
@@ -19,19 +14,20 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rewardloom.session import materialize
 
+_PLACE_BITS = 33      # monotonically_increasing_id: partition in the upper bits, place in it in the lower 33
+
 
 def sequential_index(df: DataFrame, order_cols: list, name: str = "idx", start: int = 0,
                      num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stable = materialize(df, "index-input")
-    ranged = stable.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                           .withColumn("_at", F.monotonically_increasing_id()), "index-rows")
+    pid = F.shiftright("_at", _PLACE_BITS)
+    local = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    sizes = placed.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # single-partition window over one row per range partition (≤ n rows)
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid")
-    return (out.withColumn(name, F.col("_off") + F.col("_local") + F.lit(start))
-               .drop("_pid", "_local", "_off"))
+    out = placed.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid")
+    return out.withColumn(name, F.col("_off") + local + F.lit(start)).drop("_pid", "_at", "_off")
