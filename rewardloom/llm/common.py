@@ -9,11 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rewardloom.session import materialize
+from rewardloom.session import materialize, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"      # a word: a run without the six ASCII white space characters
 
-__all__ = ["WORD", "bounded_sample", "column_or_null", "components", "crc_of_id", "documents", "materialize", "row_hash",
+__all__ = ["WORD", "bounded_sample", "column_or_null", "components", "crc_of_id", "documents", "materialize", "materialize_by", "row_hash",
            "salted_join", "ship", "table"]
 
 
@@ -40,6 +40,13 @@ def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
 
 
+def materialize_by(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``materialize`` with a folder for each value of a column of few values, so a reader of one skips the rest."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_sample(labelled: DataFrame, most: int, key: str = "doc_id") -> DataFrame:
     """At most ``most`` rows, those with the smallest hash of their key: the bound of every
     classifier's training sample.  A top-k, so each task sends at most ``most`` rows."""

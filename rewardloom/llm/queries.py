@@ -37,6 +37,11 @@ def op6_minimum_bin_slack(spark, sf_dir):
     return pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), "dropped", capacity=4096)
 
 
+def op7_site_posteriors(spark, sf_dir):
+    from rewardloom.llm.quality import posteriors
+    return posteriors(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("h")
+
+
 def op8_ngram_bands(spark, sf_dir):
     from rewardloom.llm.ngram_join import linked
     return linked(documents(spark, sf_dir)).drop("h", "keeper")
