@@ -99,9 +99,10 @@ class Model:
         self.members = {f: sorted(set(lang[family == f])) for f in self.families}
         self.duels: dict = {}
         planes, offsets = [], []
+        x = x if len(x) else np.zeros((1, DIMS), np.float32)
         deviation = np.maximum(x.std(axis=0), 1e-5)
         mean = x.mean(axis=0)
-        z = (x - mean) / deviation
+        z = ((x - mean) / deviation)[:len(lang)]
         for names, labels in [(self.families, family), *[(m, lang) for m in self.members.values()]]:
             for i, a in enumerate(names):
                 for b in names[i + 1:]:

@@ -40,7 +40,7 @@ _LIGHT = "doc_id long, h long, text_hash long, cls binary, size long, bands arra
 def bands_for(threshold: float, recall: float, most_hashes: int) -> tuple[int, int]:
     """(bands, rows): the most rows whose bands reach the recall within that many hashes."""
     for rows in range(most_hashes, 0, -1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows)))
         if bands * rows <= most_hashes:
             return bands, rows
     raise ValueError("too few hashes for this recall")
