@@ -2,37 +2,28 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rewardloom.session import staged_path
+from rewardloom.session import file_state, staged_path
 
 from rewardloom.functions.order import seq_col
 from rewardloom.sources import fixtures as fx
 
 
-STAGE_VERSION = "v3"
+STAGE_VERSION = "v4"
 
 
-def _fingerprint(sf_dir: str, *tables: str) -> str:
-    parts = [STAGE_VERSION, os.path.abspath(sf_dir)]
-    for t in tables:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            parts.append(f"{t}:{st.st_size}:{st.st_mtime_ns}")
-        except OSError:
-            parts.append(t)
-    return "|".join(parts)
+def _fingerprint(spark: SparkSession, sf_dir: str, *tables: str) -> str:
+    base = sf_dir.rstrip("/")
+    return "|".join([STAGE_VERSION, base, *(f"{t}:{file_state(spark, f'{base}/{t}.parquet')}" for t in tables)])
 
 
 def chat_path(spark: SparkSession, sf_dir: str) -> str:
     """The chat table as the source system holds it (JSON text per chat),
     derived from ``conversations`` once per input and written to the shared
-    folder in several files; queries scan (or stream) it like a source."""
-    return staged_path(spark, "chat", _fingerprint(sf_dir, "conversations"),
-                       lambda: fx.chat_table(spark, sf_dir), files=8)
+    folder; queries scan (or stream) it like a source."""
+    return staged_path(spark, "chat", _fingerprint(spark, sf_dir, "conversations"),
+                       lambda: fx.chat_table(spark, sf_dir))
 
 
 def chat_and_users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -41,8 +32,7 @@ def chat_and_users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _staged(spark: SparkSession, sf_dir: str, name: str, build, *tables: str) -> DataFrame:
-    return spark.read.parquet(staged_path(spark, name, _fingerprint(sf_dir, *tables),
-                                          build, files=8))
+    return spark.read.parquet(staged_path(spark, name, _fingerprint(spark, sf_dir, *tables), build))
 
 
 def rated_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,8 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``spark.checkpoint.dir``, else the context's
-    checkpoint dir); only when nothing is configured (local tests) a folder is
-    created and registered.
+    checkpoint dir).  Only a session on this one machine (``local[...]``) gets
+    a temporary folder when nothing is configured; on a cluster that would
+    scatter tables over the machines' own disks, so it is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -68,8 +69,10 @@ def shared_dir(spark: SparkSession) -> str:
         cur = sc.getCheckpointDir()
         if cur:
             return cur
+        if not conf and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all machines share")
         if not conf:
-            conf = tempfile.mkdtemp(prefix="rewardloom-ckpt-")   # tests only: nothing configured
+            conf = tempfile.mkdtemp(prefix="rewardloom-ckpt-")   # one machine, nothing configured
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
     if not conf:
@@ -92,38 +95,56 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when a completed Spark write (its _SUCCESS marker) is at ``path``."""
-    try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
-        return True
-    except Exception:
-        return False
+def _fs(spark: SparkSession, path: str):
+    """(file system, Hadoop path) of ``path``: the store that Spark itself reads and writes."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return bool(fs.exists(at))
+
+
+def file_state(spark: SparkSession, path: str) -> str:
+    """Number, total size and newest change time of the files at ``path``, on any file system."""
+    fs, at = _fs(spark, path)
+    files, n, size, newest = fs.listFiles(at, True), 0, 0, 0
+    while files.hasNext():
+        f = files.next()
+        n, size, newest = n + 1, size + f.getLen(), max(newest, f.getModificationTime())
+    return f"{n}:{size}:{newest}"
 
 
-def staged_path(spark: SparkSession, name: str, fingerprint: str, build, files: int = 0) -> str:
+def staged_path(spark: SparkSession, name: str, fingerprint: str, build) -> str:
     """Folder of a table derived once from given inputs and then read like a
-    source.  ``fingerprint`` identifies the inputs (path, sizes, times); the
-    table is written to the shared folder on first use.  ``files`` > 0
-    spreads the rows over that many files."""
+    source.  ``fingerprint`` identifies the inputs and their state.  The table
+    is written to a folder of its own and renamed when complete, so readers of
+    a finished table are never disturbed; whoever is second uses the first's.
+    Its files follow the data: as many as the write has partitions."""
     import hashlib
 
     digest = hashlib.sha1(fingerprint.encode()).hexdigest()[:16]
     path = f"{shared_dir(spark).rstrip('/')}/rewardloom/staged/{name}-{digest}"
-    memo = (id(spark), path)
-    if memo in _STAGED:
-        return path
-    if not _exists(spark, path):
-        df = build()
-        if files:
-            df = df.repartition(files)
-        df.write.mode("overwrite").parquet(path)
-    _STAGED.add(memo)
+    if not path_exists(spark, path):
+        own = scratch_path(spark, f"staging-{name}")
+        build().write.parquet(own)
+        fs, at = _fs(spark, path)
+        fs.mkdirs(at.getParent())
+        if not fs.rename(_fs(spark, own)[1], at) and not fs.exists(at):
+            raise RuntimeError(f"could not put {own} in place at {path}")
     return path
 
 
-_STAGED: set = set()   # (session, path) pairs known to hold a completed write
+def staged(spark: SparkSession, name: str, fingerprint: str, build):
+    return spark.read.parquet(staged_path(spark, name, fingerprint, build))
 
 
-def staged(spark: SparkSession, name: str, fingerprint: str, build, files: int = 0):
-    return spark.read.parquet(staged_path(spark, name, fingerprint, build, files))
+def release(spark: SparkSession, df) -> None:
+    """Deletes the folders that ``materialize`` wrote for ``df``; it can't be read again."""
+    base = f"{shared_dir(spark).rstrip('/')}/rewardloom/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/rewardloom/" in folder and folder.split(":", 1)[-1].lstrip("/").startswith(base.split(":", 1)[-1].lstrip("/")):
+            fs, at = _fs(spark, folder)
+            fs.delete(at, True)
