@@ -35,7 +35,7 @@ def src_chat(spark, sf):
 SELECT chat_id, user_id, msg_pos, message_id FROM fx_msg""")
 def explode_messages(spark, sf):
     chat, _ = chat_and_users(spark, sf)
-    return E.explode_messages(chat, keep_map=False).select("chat_id", "user_id", "msg_pos", "message_id")
+    return E.explode_messages(chat).select("chat_id", "user_id", "msg_pos", "message_id")
 
 
 @query("message_fields", """
@@ -54,7 +54,7 @@ SELECT chat_id, msg_pos, CAST(epoch AS DOUBLE) AS epoch,
 FROM fx_msg""")
 def message_time(spark, sf):
     chat, _ = chat_and_users(spark, sf)
-    ex = E.explode_messages(chat, keep_map=False)
+    ex = E.explode_messages(chat)
     ts = E.message_time(F.from_json("raw", "timestamp string")["timestamp"])
     epoch = F.unix_seconds(ts)
     # rendered from the epoch on a zone-free timestamp: independent of the session zone
@@ -67,7 +67,7 @@ def message_time(spark, sf):
 SELECT chat_id, msg_pos, parent_id, question FROM fx_msg""")
 def parent_question(spark, sf):
     chat, _ = chat_and_users(spark, sf)
-    f = E.message_fields(E.explode_messages(chat))
+    f = E.message_fields(E.explode_with_parent(chat))
     return f.select("chat_id", "msg_pos", "parent_id", "question")
 
 
@@ -92,7 +92,7 @@ def rated_messages(spark, sf):
 SELECT chat_id, msg_pos, message_id FROM fx_msg WHERE NOT rated AND role = 'assistant'""")
 def unrated_messages(spark, sf):
     chat, _ = chat_and_users(spark, sf)
-    return E.unrated_filter(E.explode_messages(chat, keep_map=False)) \
+    return E.unrated_filter(E.explode_messages(chat)) \
             .select("chat_id", "msg_pos", "message_id")
 
 

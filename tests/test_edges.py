@@ -62,7 +62,7 @@ def test_unrated_excludes_json_null_and_scalars(spark):
 
 
 def test_duplicate_keys_and_bad_documents(spark):
-    ex = E.explode_messages(chats(spark, EDGE_CHATS), keep_map=False)
+    ex = E.explode_messages(chats(spark, EDGE_CHATS))
     rows = sorted((r.chat_id, r.msg_pos, r.message_id) for r in ex.collect())
     assert [r for r in rows if r[0] == 4] == [(4, 0, "a"), (4, 1, "a")]
     assert not [r for r in rows if r[0] in (5, 6)]
@@ -194,3 +194,47 @@ def test_sql_views(spark):
                     "chat_id, msg_pos LIMIT 5").collect()
     assert len(top) == 5
     assert spark.sql("SELECT count(*) FROM t_samples").first()[0] == 216
+
+
+def test_out_of_range_and_stale_times(spark):
+    """A time that no timestamp holds is NULL and counted, and a stale chat time loses no message unless asked for."""
+    def doc(ts):
+        return '{"history":{"messages":{"a":{"role":"user","content":"x","timestamp":%s,"annotation":{"rating":1}}}}}' % ts
+    df = spark.createDataFrame([(1, 1, doc("99999999999999999"), None), (2, 1, doc("-99999999999999999"), None), (3, 1, doc("1704067200"), 5)],
+                               "id bigint, user_id bigint, chat string, updated_at bigint")
+    u = spark.createDataFrame([(1, "e")], "id bigint, email string")
+    got = {r.chat_id: r.datetime for r in E.extract_feedback(df, u).collect()}
+    assert got[1] is None and got[2] is None and got[3] is not None
+    assert E.extract_profile(df).first().bad_timestamps == 2
+    assert [r.chat_id for r in E.extract_feedback(df, u, days_back=3, as_of=1704067300).collect()] == [3]
+    assert E.extract_feedback(df, u, days_back=3, as_of=1704067300, updated_col="updated_at").count() == 0
+
+
+def test_long_chat_finds_every_parent(spark):
+    import json
+    n = 3000
+    messages = {f"m{i}": {"role": "user", "content": f"c{i}", "annotation": {"rating": 1}} for i in range(n)}
+    for i in range(1, n):
+        messages[f"m{i}"]["parentId"] = f"m{(i * 7) % n}" if i % 10 else "unknown"
+    df = spark.createDataFrame([(1, 1, json.dumps({"history": {"messages": messages}}))], "id bigint, user_id bigint, chat string")
+    got = {r.message_id: r.question for r in E.message_fields(E.explode_with_parent(df, E.is_rated)).select("message_id", "question").collect()}
+    assert got == {f"m{i}": (f"c{(i * 7) % n}" if i and i % 10 else None) for i in range(n)}
+
+
+def test_decode_keeps_every_row(spark):
+    from rewardloom.operators import prompts as D
+    rows = [(1, "q", "hello w"), (2, "q", None), (3, None, "hi"), (4, "", ""), (5, None, None), (6, "q", "hello w")]
+    df = spark.createDataFrame(rows, "row int, question string, response string")
+    vocab = D.build_vocab(df.selectExpr("concat_ws(' ', question, response) AS t"), "t")
+    got = {r.row: r.response_text for r in D.decode_responses(D.generated_ids(df, vocab, "row"), vocab, "row").collect()}
+    assert got == {1: "hello w", 2: "", 3: "hi", 4: "", 5: "", 6: "hello w"}
+
+
+def test_template_is_a_parameter(spark):
+    from rewardloom.operators import preference as P
+    df = spark.createDataFrame([("a", "b"), (None, "c")], "question string, answer string")
+    got = [r.text for r in P.format_qa(df, template="{{A}} {answer} / {question} / {answer}").collect()]
+    assert got == ["{A} b / a / b", "{A} c / None / c"]
+    import pytest as _pytest
+    with _pytest.raises(ValueError):
+        P.format_qa(df, template="{other}")
