@@ -3,7 +3,10 @@
 from pyspark.sql import types as T
 
 # chat table: one row per chat, the whole conversation as JSON text, plus the
-# optional last-update time (epoch seconds; NULL when the source lacks it)
+# optional last-update time (epoch seconds; NULL when the source lacks it).
+# Ids are kept as found (text or integer) where the source has a type for them
+# (parquet, JDBC); the types here are what untyped sources (JSON lines) are
+# read with, unless the caller gives another schema.
 CHAT = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("user_id", T.LongType()),
@@ -11,6 +14,7 @@ CHAT = T.StructType([
     T.StructField("updated_at", T.LongType()),
 ])
 OPTIONAL_COLUMNS = {"updated_at"}
+ID_COLUMNS = {"id", "user_id"}
 
 USER = T.StructType([
     T.StructField("id", T.LongType()),

@@ -2,14 +2,18 @@
 
 ``fmt`` is ``parquet``, ``json`` (JSON lines with the CHAT/USER schema),
 ``delta``/``orc``/any file format Spark knows, or ``jdbc``.  For JDBC the read
-is split into ``num_partitions`` range slices of ``id`` when ``id_bounds`` is
-given, else into ``mod(id, n)`` predicates, so no single connection pulls the
-whole table.
+is split into ``num_partitions`` range slices of an integer ``id`` when
+``id_bounds`` is given (one index range each; ids outside the bounds and NULL
+ids come with the first and last slice), or into slices between the sorted
+``id_splits`` of any comparable type plus one for NULL ids.  Without either it
+is one slice, which still loses no row.
+
+Ids keep the type that the source has (text or integer).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rewardloom import schema as S
 
@@ -17,7 +21,11 @@ from rewardloom import schema as S
 def _conform(df: DataFrame, struct) -> DataFrame:
     cols = []
     for f in struct.fields:
-        if f.name in df.columns:
+        if f.name in df.columns and f.name in S.ID_COLUMNS:
+            found = df.schema[f.name].dataType
+            kept = "bigint" if isinstance(found, (T.ByteType, T.ShortType, T.IntegerType)) else found
+            cols.append(F.col(f.name).cast(kept).alias(f.name))
+        elif f.name in df.columns:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
         elif f.name in S.OPTIONAL_COLUMNS:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
@@ -26,9 +34,23 @@ def _conform(df: DataFrame, struct) -> DataFrame:
     return df.select(cols)
 
 
+def split_predicates(splits: list, column: str = "id") -> list[str]:
+    """Predicates that put every row in exactly one slice: below the first
+    split, between neighbours, from the last on, and NULL."""
+    def lit(v):
+        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+
+    cut = [lit(v) for v in sorted(set(splits))]
+    if not cut:
+        return ["1 = 1"]
+    return ([f"{column} < {cut[0]}"] + [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cut, cut[1:])]
+            + [f"{column} >= {cut[-1]}", f"{column} IS NULL"])
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None,
                jdbc_table: str | None = None, jdbc_props: dict | None = None,
-               num_partitions: int = 64, id_bounds: tuple[int, int] | None = None) -> DataFrame:
+               num_partitions: int = 64, id_bounds: tuple[int, int] | None = None,
+               id_splits: list | None = None) -> DataFrame:
     if fmt == "jdbc":
         props = dict(jdbc_props or {})
         url = props.pop("url", path)
@@ -38,8 +60,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None
                                  upperBound=int(id_bounds[1]), numPartitions=num_partitions,
                                  properties=props)
         else:
-            preds = [f"mod(id, {num_partitions}) = {i}" for i in range(num_partitions)]
-            df = spark.read.jdbc(url, jdbc_table, predicates=preds, properties=props)
+            df = spark.read.jdbc(url, jdbc_table, predicates=split_predicates(id_splits or []), properties=props)
     elif fmt == "json" and struct is not None:
         df = spark.read.schema(struct).json(path)
     else:
@@ -48,13 +69,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", struct=None
 
 
 def read_chat(spark: SparkSession, path: str, fmt: str = "parquet", **kw) -> DataFrame:
-    """The chat table: ``id BIGINT, user_id BIGINT, chat STRING`` (JSON) and
-    the optional ``updated_at BIGINT`` (epoch seconds of the last change)."""
+    """The chat table: ``id, user_id`` (text or integer, as found), ``chat
+    STRING`` (JSON) and the optional ``updated_at BIGINT`` (epoch seconds of
+    the last change)."""
     return read_table(spark, path, fmt, S.CHAT, jdbc_table=kw.pop("jdbc_table", "chat"), **kw)
 
 
 def read_users(spark: SparkSession, path: str, fmt: str = "parquet", **kw) -> DataFrame:
-    """The user table: ``id BIGINT, email STRING``."""
+    """The user table: ``id`` (type of ``chat.user_id``), ``email STRING``."""
     return read_table(spark, path, fmt, S.USER, jdbc_table=kw.pop("jdbc_table", '"user"'), **kw)
 
 
