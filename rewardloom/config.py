@@ -12,8 +12,8 @@ from dataclasses import dataclass, field
 # Fixed values (must match the behaviour being reproduced)
 # ---------------------------------------------------------------------------
 # Prompt template used when a (question, answer) pair is scored.
-QA_TEMPLATE_PREFIX = "Câu hỏi: "
-QA_TEMPLATE_MIDDLE = "\n\nTrả lời: "
+QA_TEMPLATE = "Câu hỏi: {question}\n\nTrả lời: {answer}"
+RUN_ID_FORMAT = "%Y%m%d_%H%M%S"
 # Separator between the question part and the answer part of a reward key.
 KEY_SEPARATOR = "|||"
 # Number of code points kept from each side of a reward key.
@@ -47,8 +47,8 @@ class Settings:
     preview_chars: int = 80
     raw_preview_chars: int = 300
     batch_log_every: int = 10
-    # prompts per batching shard; the shard count grows with the data
-    rows_per_shard: int = 100_000
+    # batching shards: about one per 100,000 prompts, fixed by the caller for its corpus
+    batch_shards: int = 8
     hashing_features: int = 256
     extra: dict = field(default_factory=dict, compare=False)
 

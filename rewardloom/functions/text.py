@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, functions as F
 
-from rewardloom.config import (KEY_SEPARATOR, KEY_SIDE_CHARS, QA_TEMPLATE_MIDDLE,
-                               QA_TEMPLATE_PREFIX, TOKEN_SPLIT_PATTERN, UNICODE_WS)
+from rewardloom.config import KEY_SEPARATOR, KEY_SIDE_CHARS, QA_TEMPLATE, TOKEN_SPLIT_PATTERN, UNICODE_WS
 
 # Java regex space class matching what a numeric parser tolerates around a number.
 _SP = "[ \\t\\n\\x0B\\f\\r]*"
@@ -50,9 +51,17 @@ def corpus_tokens(c) -> Column:
     return F.filter(F.split(ustrip(c), TOKEN_SPLIT_PATTERN), lambda t: t != F.lit(""))
 
 
-def qa_text(question, answer) -> Column:
-    """The scorer's input template; a missing side renders as ``None``, as
+def qa_text(question, answer, template: str = QA_TEMPLATE) -> Column:
+    """The scorer's input: ``template`` with {question} and {answer} filled
+    in, each any number of times; a missing side renders as ``None``, as
     Python string formatting does."""
-    def side(x):
-        return F.coalesce(_c(x), F.lit("None"))
-    return F.concat(F.lit(QA_TEMPLATE_PREFIX), side(question), F.lit(QA_TEMPLATE_MIDDLE), side(answer))
+    sides = {"question": F.coalesce(_c(question), F.lit("None")), "answer": F.coalesce(_c(answer), F.lit("None"))}
+    parts = []
+    for literal, field, spec, conversion in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if field is not None:
+            if field not in sides or spec or conversion:
+                raise ValueError(f"template field {{{field}}}: only {{question}} and {{answer}}")
+            parts.append(sides[field])
+    return F.concat(*parts) if parts else F.lit("")

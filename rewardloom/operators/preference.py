@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rewardloom.config import DEFAULT_SETTINGS
+from rewardloom.config import DEFAULT_SETTINGS, QA_TEMPLATE
 from rewardloom.functions.text import qa_text
 from rewardloom.operators.rewards import with_reward_key
 from rewardloom.operators.skew import skew_safe_join
@@ -39,9 +39,10 @@ def preference_pairs(samples: DataFrame, dedup: bool = True) -> DataFrame:
                     (F.col("chosen_rating") - F.col("rating")).alias("margin"))
 
 
-def format_qa(df: DataFrame, q: str = "question", a: str = "answer", out: str = "text") -> DataFrame:
-    """The scorer's prompt template."""
-    return df.withColumn(out, qa_text(q, a))
+def format_qa(df: DataFrame, q: str = "question", a: str = "answer", out: str = "text",
+              template: str = QA_TEMPLATE) -> DataFrame:
+    """The scorer's prompt template, with {question} and {answer}."""
+    return df.withColumn(out, qa_text(q, a, template))
 
 
 def split_bucket(col, seed: int = 42, buckets: int = DEFAULT_SETTINGS.test_share_buckets):

@@ -48,15 +48,18 @@ def build_vocab(texts: DataFrame, col: str) -> DataFrame:
 
 
 # -- D3 / D4 / D5 ------------------------------------------------------------
-def encode(df: DataFrame, key: str, tokens_col, vocab: DataFrame, carry: tuple = ()) -> DataFrame:
+def encode(df: DataFrame, key: str, tokens_col, vocab: DataFrame, carry: tuple = (),
+           keep_empty: bool = False) -> DataFrame:
     """Map a token array column to ids (unknown -> <unk>); rows with no
-    tokens drop out.  ``carry`` columns must be constant per key.
+    tokens drop out unless ``keep_empty``.  ``key`` identifies a row;
+    ``carry`` columns must be constant per key.
     Output: key, *carry, input_ids ARRAY<INT>, attention_mask ARRAY<INT>."""
-    ex = df.select(key, *carry, F.posexplode(tokens_col).alias("pos", "token"))
+    each = F.posexplode_outer(tokens_col) if keep_empty else F.posexplode(tokens_col)
+    ex = df.select(key, *carry, each.alias("pos", "token"))
     v = vocab.select("token", F.col("token_id").cast("int").alias("tid"))
-    j = ex.join(v, "token", "left").select(key, *carry, "pos",
-                                           F.coalesce("tid", F.lit(UNK_ID)).alias("tid"))
-    g = j.groupBy(key, *carry).agg(F.sort_array(F.collect_list(F.struct("pos", "tid"))).alias("_p"))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("tid", F.lit(UNK_ID)).alias("tid")))
+    j = ex.join(v, "token", "left").select(key, *carry, item.alias("item"))
+    g = j.groupBy(key, *carry).agg(F.sort_array(F.collect_list("item")).alias("_p"))
     ids = F.transform("_p", lambda e: e["tid"])
     return g.select(key, *carry, ids.alias("input_ids"),
                     F.array_repeat(F.lit(1), F.size("_p")).alias("attention_mask"))
@@ -72,17 +75,14 @@ def tokenize_prompts(prompts: DataFrame, vocab: DataFrame,
 
 # -- D6 ----------------------------------------------------------------------
 def left_pad_batches(encoded: DataFrame, batch_size: int = DEFAULT_SETTINGS.batch_size,
-                     rows_per_shard: int = DEFAULT_SETTINGS.rows_per_shard,
-                     pad_id: int = PAD_ID) -> DataFrame:
+                     shards: int = DEFAULT_SETTINGS.batch_shards, pad_id: int = PAD_ID) -> DataFrame:
     """Group prompts into batches of ``batch_size`` and left-pad each to its
     batch's longest prompt (mask 0 on pads).
 
-    Batches are formed inside hash shards of the prompt key; the shard count
-    is ceil(prompts / rows_per_shard), computed as a scalar subquery, so a
-    shard stays ~rows_per_shard rows however large the corpus grows."""
-    n = encoded.select(F.count(F.lit(1))).scalar()
-    shards = F.greatest(F.lit(1), F.ceil(n / F.lit(float(rows_per_shard))))
-    shard = F.pmod(F.conv(F.substring("prompt_key", 1, 8), 16, 10).cast("bigint"), shards)
+    Batches are formed inside ``shards`` hash shards of the prompt key.  The
+    caller fixes the number for its corpus (about one per 100,000 prompts): a
+    prompt's shard then never depends on how many others there are."""
+    shard = F.pmod(F.conv(F.substring("prompt_key", 1, 8), 16, 10).cast("bigint"), F.lit(int(shards)))
     df = encoded.withColumn("shard", shard.cast("bigint"))
     w = Window.partitionBy("shard").orderBy("prompt_key")
     df = df.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)))
@@ -113,18 +113,25 @@ def decode(df: DataFrame, key: str, ids_col: str, vocab: DataFrame, out: str = "
     return g.select(key, F.array_join(F.transform("_p", lambda e: e["token"]), " ").alias(out))
 
 
-def decode_responses(responses: DataFrame, vocab: DataFrame, key: str = "doc_id",
-                     max_prompt_tokens: int = DEFAULT_SETTINGS.prompt_max_tokens) -> DataFrame:
-    """The generated sequence is prompt ids followed by response ids; the
-    response text is ``decode(r[len(q):])``.  Here the sequence is built from
-    the (question, response) text pair, encoded in one pass, sliced after the
-    prompt part and decoded."""
-    q = F.slice(corpus_tokens(F.col("question")), 1, max_prompt_tokens)
-    seq = F.concat(q, corpus_tokens(F.col("response")))
-    staged = responses.select(key, seq.alias("_t"), F.size(q).alias("q_len"))
-    enc = encode(staged, key, F.col("_t"), vocab, carry=("q_len",))
-    n_resp = F.greatest(F.size("input_ids") - F.col("q_len"), F.lit(0))
-    sliced = enc.select(key, F.slice("input_ids", F.col("q_len") + 1, n_resp).alias("response_ids"))
+def generated_ids(responses: DataFrame, vocab: DataFrame, key: str,
+                  max_prompt_tokens: int = DEFAULT_SETTINGS.prompt_max_tokens) -> DataFrame:
+    """What a generator returns for (question, response) texts: ``sequence_ids`` = prompt ids followed by
+    response ids, and ``prompt_len``.  One row per input row; ``key`` identifies a row.  A missing text has no ids."""
+    none = F.array().cast("array<string>")
+    q = F.coalesce(F.slice(corpus_tokens(F.col("question")), 1, max_prompt_tokens), none)
+    staged = responses.select(key, F.concat(q, F.coalesce(corpus_tokens(F.col("response")), none)).alias("_t"),
+                              F.size(q).alias("prompt_len"))
+    enc = encode(staged, key, F.col("_t"), vocab, carry=("prompt_len",), keep_empty=True)
+    return enc.select(key, "prompt_len", F.col("input_ids").alias("sequence_ids"))
+
+
+def decode_responses(generated: DataFrame, vocab: DataFrame, key: str, ids_col: str = "sequence_ids",
+                     prompt_len_col: str = "prompt_len") -> DataFrame:
+    """``decode(r[len(q):])`` of every generated sequence, once: the ids after the prompt part, looked up in the
+    inverse vocabulary.  ``key`` must identify a row (a document seen in several epochs is several rows); every row
+    is kept, with an empty text where nothing decodes."""
+    n = F.greatest(F.size(ids_col) - F.col(prompt_len_col), F.lit(0))
+    sliced = generated.select(key, F.slice(ids_col, F.col(prompt_len_col) + 1, n).alias("response_ids"))
     return decode(sliced, key, "response_ids", vocab, out="response_text")
 
 

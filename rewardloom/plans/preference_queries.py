@@ -93,9 +93,9 @@ def score_batch(spark, sf):
 
 @query("score_unrated")
 def score_unrated(spark, sf):
-    """Rows-only: unrated assistant answers from the chats, scored."""
+    """Rows-only: every unrated assistant answer of the chats, scored."""
     chat, users = chat_and_users(spark, sf)
-    un = E.extract_unrated(chat, users)
+    un = E.unrated_rows(chat, users)
     return SC.score_batch(un, _model(spark, sf)).select("chat_id", "message_id", "score")
 
 

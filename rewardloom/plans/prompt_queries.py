@@ -31,6 +31,8 @@ def _encoded(spark, sf):
     return D.tokenize_prompts(up, vocab)
 
 
+SHARDS = 8      # fixed for this corpus
+
 _UP = "up AS (SELECT DISTINCT prompt FROM fx_prompts WHERE prompt IS NOT NULL)"
 _PV = f"pv AS ({vocab_sql('SELECT prompt AS txt FROM up')})"
 _ENC = f"""enc AS (
@@ -68,7 +70,7 @@ def tokenize_prompts(spark, sf):
 _BATCH = f"""
 , {_with(_UP, _PV, _ENC)},
 sh AS (SELECT e.*, ('0x' || substr(prompt_key, 1, 8))::UBIGINT
-                    % (SELECT greatest(1, ceil(count(*) / 100000.0)) FROM enc)::UBIGINT AS shard
+                    % {SHARDS}::UBIGINT AS shard
        FROM enc e),
 b AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY prompt_key) - 1) // 4 AS batch_no FROM sh),
 p AS (SELECT *, max(n_tok) OVER (PARTITION BY shard, batch_no) - n_tok AS k FROM b)"""
@@ -80,7 +82,7 @@ SELECT CAST(shard AS BIGINT) AS shard, CAST(batch_no AS BIGINT) AS batch_no, pro
        repeat('0,', CAST(k AS BIGINT)) || rtrim(repeat('1,', n_tok), ',') AS attention_mask
 FROM p""")
 def left_pad_batches(spark, sf):
-    b = D.left_pad_batches(_encoded(spark, sf))
+    b = D.left_pad_batches(_encoded(spark, sf), shards=SHARDS)
     return b.select("shard", "batch_no", "prompt_key", ids_text("input_ids"), ids_text("attention_mask"))
 
 
@@ -88,24 +90,43 @@ def left_pad_batches(spark, sf):
 , {_with(_UP, _PV, _ENC)}
 SELECT prompt_key, input_ids FROM enc""")
 def unpad_batches(spark, sf):
-    b = D.unpad(D.left_pad_batches(_encoded(spark, sf)))
+    b = D.unpad(D.left_pad_batches(_encoded(spark, sf), shards=SHARDS))
     return b.select("prompt_key", ids_text("input_ids"))
 
 
 _RV = f"""rv AS ({vocab_sql("SELECT question AS txt FROM fx_rated UNION ALL SELECT answer FROM fx_rated")})"""
 
 
+# generated rows: every response once, and again (a later epoch) with a missing, an empty or the same response,
+# and with neither text
+_GENERATED = """gr AS (
+  SELECT doc_id, 0 AS epoch, question, response FROM fx_responses
+  UNION ALL SELECT doc_id, 1, question, CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 3 = 1 THEN '' ELSE response END
+            FROM fx_responses WHERE doc_id % 5 = 0
+  UNION ALL SELECT doc_id, 2, NULL, NULL FROM fx_responses WHERE doc_id % 50 = 0)"""
+
+
+def _generated(spark, sf):
+    r = responses(spark, sf).select("doc_id", "question", "response")
+    did, none = F.col("doc_id"), F.lit(None).cast("string")
+    again = F.when(did % 3 == 0, none).when(did % 3 == 1, F.lit("")).otherwise(F.col("response"))
+    rows = (r.withColumn("epoch", F.lit(0))
+             .unionByName(r.where(did % 5 == 0).withColumn("response", again).withColumn("epoch", F.lit(1)))
+             .unionByName(r.where(did % 50 == 0).withColumns({"question": none, "response": none, "epoch": F.lit(2)})))
+    return rows.withColumn("row", F.struct("doc_id", "epoch"))
+
+
 @query("decode_responses", f"""
-, {_RV},
-rt AS (SELECT doc_id, {tokens('question')} AS qt, {tokens('response')} AS t FROM fx_responses),
-kept AS (SELECT doc_id, token, pos
-         FROM (SELECT doc_id, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos FROM rt)
+, {_RV}, {_GENERATED},
+rt AS (SELECT doc_id, epoch, coalesce({tokens('response')}, []) AS t FROM gr),
+kept AS (SELECT doc_id, epoch, token, pos
+         FROM (SELECT doc_id, epoch, unnest(t) AS token, unnest(range(1, len(t) + 1)) AS pos FROM rt)
          JOIN rv USING (token) WHERE rv.token_id > 2)
-SELECT r.doc_id, coalesce(a.response_text, '') AS response_text
-FROM rt r LEFT JOIN (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS response_text
-                     FROM kept GROUP BY doc_id) a USING (doc_id)
-WHERE len(r.qt) + len(r.t) > 0""")
+SELECT r.doc_id, r.epoch, coalesce(a.response_text, '') AS response_text
+FROM rt r LEFT JOIN (SELECT doc_id, epoch, string_agg(token, ' ' ORDER BY pos) AS response_text
+                     FROM kept GROUP BY ALL) a ON a.doc_id = r.doc_id AND a.epoch = r.epoch""")
 def decode_responses(spark, sf):
     texts = rated_base(spark, sf).select(F.explode(F.array("question", "answer")).alias("txt"))
     vocab = materialize(D.build_vocab(texts, "txt"), "vocab")
-    return D.decode_responses(responses(spark, sf), vocab)
+    generated = materialize(D.generated_ids(_generated(spark, sf), vocab, "row"), "generated")
+    return D.decode_responses(generated, vocab, "row").select("row.doc_id", "row.epoch", "response_text")
