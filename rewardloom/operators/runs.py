@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from rewardloom.config import DEFAULT_SETTINGS, Settings
+from rewardloom.config import DEFAULT_SETTINGS, RUN_ID_FORMAT, Settings
 from rewardloom.operators import clean as C, extract as E, rewards as R
 
 NO_FEEDBACK, NOT_ENOUGH, READY = "no_feedback", "not_enough", "ready"
@@ -26,7 +26,7 @@ def status_expr(extracted, samples, min_samples: int):
 
 
 def new_run_id(now: _dt.datetime | None = None) -> str:
-    return (now or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    return (now or _dt.datetime.now(_dt.timezone.utc)).strftime(RUN_ID_FORMAT)
 
 
 @dataclass
@@ -73,8 +73,12 @@ def window_gates(feedback: DataFrame, days: list[int], as_of,
 def feedback_run(chat: DataFrame, users: DataFrame, days_back: int | None = None, as_of=None,
                  settings: Settings = DEFAULT_SETTINGS, run_id: str | None = None) -> Run:
     """O1: the lazy run; nothing executes until the caller acts on it."""
+    return run_of(E.extract_feedback(chat, users, days_back=days_back, as_of=as_of, sort=False), run_id, settings)
+
+
+def run_of(fb: DataFrame, run_id: str | None = None, settings: Settings = DEFAULT_SETTINGS) -> Run:
+    """O1 over feedback rows already extracted (such as the incremental job's)."""
     rid = run_id or new_run_id()
-    fb = E.extract_feedback(chat, users, days_back=days_back, as_of=as_of, sort=False)
     samples = R.reward_samples(C.clean_feedback(fb), settings)
     return Run(rid, samples, gate_counts(fb, rid, settings), fb, settings)
 
@@ -86,18 +90,21 @@ def execute_run(run: Run, sink_path: str | None = None, dry_run: bool = False) -
     Real run: the extracted feedback rows are written ONCE to a staging folder
     in the shared directory (the only pass over the chat documents); the gate
     is computed from that staged table, and only a ready run is cleaned,
-    labelled and published from it as partition ``run_id`` of ``sink_path``."""
+    labelled and published from it as partition ``run_id`` of ``sink_path``,
+    with its card (S4) next to it.  The staging folder is removed at the end."""
     if dry_run or not sink_path:
         return run.status.first().asDict()
-    from rewardloom.session import materialize
-    from rewardloom.sources.snapshot import write_snapshot
+    from rewardloom.session import materialize, release
+    from rewardloom.sources.snapshot import write_card, write_snapshot
 
     staged = materialize(run.feedback, f"run-{run.run_id}")
     st = gate_counts(staged, run.run_id, run.settings).first().asDict()
     if st["status"] == READY:
-        samples = R.reward_samples(C.clean_feedback(staged), run.settings).drop("seq")
-        write_snapshot(samples, sink_path, run.run_id)
+        clean = C.clean_feedback(staged)
+        write_snapshot(R.reward_samples(clean, run.settings).drop("seq"), sink_path, run.run_id)
+        write_card(dataset_card(clean.withColumn("reward", R.reward_expr("rating", run.settings)), run.run_id), sink_path, run.run_id)
         st["written"] = sink_path
+    release(staged.sparkSession, staged)
     return st
 
 

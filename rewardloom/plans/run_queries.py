@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rewardloom.operators import runs as O
-from rewardloom.plans.inputs import chat_and_users, chat_path, epoch_of
+from rewardloom.plans.inputs import chat_and_users, epoch_of
 from rewardloom.plans.oracle import key as okey
 from rewardloom.plans.registry import query
-from rewardloom.session import scratch_path
-from rewardloom.sources.snapshot import read_snapshot, write_snapshot
+from rewardloom.session import path_exists, scratch_path
+from rewardloom.sources.snapshot import read_cards, read_snapshot, write_snapshot
 from rewardloom.streaming import incremental as ST
 
 RUN_ID = "20240108_000000"
@@ -74,24 +74,77 @@ def dataset_card(spark, sf):
     return O.dataset_card(clean.withColumn("reward", R.reward_expr("rating")), RUN_ID)
 
 
-def _staged_stream(spark, sf, name):
-    """The staged chat folder (8 files) read as a file stream, 4 files per
-    micro-batch; output and checkpoint go to a fresh folder per run."""
-    _, users = chat_and_users(spark, sf)
+@query("run_dry", f"""
+SELECT '{RUN_ID}' AS run_id, (SELECT count(*) FROM fx_feedback) AS extracted, count(*) AS cleaned, count(*) AS samples,
+       CASE WHEN (SELECT count(*) FROM fx_feedback) = 0 THEN 'no_feedback'
+            WHEN count(*) < {MIN} THEN 'not_enough' ELSE 'ready' END AS status, CAST(0 AS BIGINT) AS files_written
+FROM fx_clean""")
+def run_dry(spark, sf):
+    """O3: the gate of a dry run, and that nothing was written where a real run publishes."""
+    path = scratch_path(spark, "dry")
+    st = O.execute_run(_run(spark, sf), sink_path=path, dry_run=True)
+    written = int(path_exists(spark, path))
+    return spark.createDataFrame([(st["run_id"], st["extracted"], st["cleaned"], st["samples"], st["status"], written)],
+                                 "run_id string, extracted bigint, cleaned bigint, samples bigint, status string, files_written bigint")
+
+
+@query("published_card", f"""
+SELECT '{RUN_ID}' AS run_id, count(*) AS rows, count(DISTINCT question) AS distinct_prompts,
+       avg(rating) AS mean_rating, min(rating) AS min_rating, max(rating) AS max_rating,
+       avg(reward) AS mean_reward, max(epoch) AS max_epoch
+FROM fx_samples""")
+def published_card(spark, sf):
+    """S4 as a real run writes it next to its snapshot."""
+    path = scratch_path(spark, "published")
+    O.execute_run(_run(spark, sf), sink_path=path)
+    return read_cards(spark, path, RUN_ID).select("run_id", "rows", "distinct_prompts", "mean_rating", "min_rating", "max_rating",
+                                                  "mean_reward", "max_epoch")
+
+
+def _landed(spark, sf, name, *changes):
+    """The staged chats landed and drained, then each change landed and drained; (sink, users)."""
+    chat, users = chat_and_users(spark, sf)
     base = scratch_path(spark, name)
-    return ST.chat_stream(spark, chat_path(spark, sf), max_files_per_trigger=4), users, base
+    for k, rows in enumerate([chat, *[change(chat) for change in changes]]):
+        rows.write.parquet(f"{base}/landing/part={k}")
+        ST.start_extract(ST.chat_stream(spark, f"{base}/landing/part=*"), f"{base}/out", f"{base}/ckpt").awaitTermination()
+    return f"{base}/out", users
 
 
-@query("stream_extract", """
-SELECT chat_id, msg_pos, message_id, role, email, model, rating, reason, comment, question,
-       content AS answer, CAST(epoch AS DOUBLE) AS epoch FROM fx_feedback""")
+_STREAM_COLS = ("chat_id", "msg_pos", "message_id", "role", "email", "model", "rating", "reason", "comment", "question", "answer")
+_STREAM_SQL = """SELECT chat_id, msg_pos, message_id, role, email, model, rating, reason, comment, question,
+       content AS answer, CAST(epoch AS DOUBLE) AS epoch FROM """
+
+
+def _stream_out(df):
+    return df.select(*_STREAM_COLS, epoch_of("datetime", "epoch"))
+
+
+@query("stream_extract", _STREAM_SQL + "fx_feedback")
 def stream_extract(spark, sf):
-    chats, users, base = _staged_stream(spark, sf, "stream-extract")
-    q = ST.start_extract(chats, users, f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    return out.select("chat_id", "msg_pos", "message_id", "role", "email", "model", "rating",
-                      "reason", "comment", "question", "answer", epoch_of("datetime", "epoch"))
+    sink, users = _landed(spark, sf, "stream-extract")
+    return _stream_out(ST.current_feedback(spark, sink, users))
+
+
+@query("stream_rerun_updated", """, upd AS (SELECT * REPLACE (CASE WHEN chat_id % 3 = 0 AND rating IN ('1', '2') THEN '5' ELSE rating END AS rating)
+FROM fx_feedback)
+""" + _STREAM_SQL + "upd")
+def stream_rerun_updated(spark, sf):
+    """A third of the chats land again with low ratings changed: the later version replaces the earlier one."""
+    def changed(chat):
+        again = F.regexp_replace("chat", '"rating":[12],', '"rating":5,')
+        return chat.where(F.col("id") % 3 == 0).withColumn("chat", again)
+
+    sink, users = _landed(spark, sf, "stream-updated", changed)
+    return _stream_out(ST.current_feedback(spark, sink, users))
+
+
+@query("stream_late_user", _STREAM_SQL + "fx_feedback")
+def stream_late_user(spark, sf):
+    """Half of the users arrive after their chats were drained; the reader finds them all the same."""
+    sink, users = _landed(spark, sf, "stream-late")
+    ST.current_feedback(spark, sink, users.where(F.col("id") % 2 == 0)).count()
+    return _stream_out(ST.current_feedback(spark, sink, users))
 
 
 @query("stream_reward_cache", f"""
@@ -101,7 +154,6 @@ SELECT key, reward, n_ratings FROM (
   FROM (SELECT *, {okey('question', 'answer')} AS key FROM fx_samples))
 WHERE rn = 1""")
 def stream_reward_cache(spark, sf):
-    chats, users, base = _staged_stream(spark, sf, "stream-cache")
-    q = ST.start_reward_cache(chats, users, f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    return ST.read_reward_table(spark, f"{base}/out")
+    sink, users = _landed(spark, sf, "stream-cache")
+    ST.compact(spark, sink)
+    return ST.current_reward_table(spark, sink, users)

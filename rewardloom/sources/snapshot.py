@@ -19,3 +19,16 @@ def write_snapshot(samples: DataFrame, path: str, run_id: str) -> str:
 def read_snapshot(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     return df.where(F.col("run_id") == run_id) if run_id is not None else df
+
+
+def card_path(path: str) -> str:
+    return path.rstrip("/") + "-cards"
+
+
+def write_card(card: DataFrame, path: str, run_id: str) -> None:
+    """The run's one-row card, in a folder of cards next to the snapshot's."""
+    write_snapshot(card.drop("run_id"), card_path(path), run_id)
+
+
+def read_cards(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    return read_snapshot(spark, card_path(path), run_id)

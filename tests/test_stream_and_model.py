@@ -11,18 +11,55 @@ from tests.conftest import SF01
 COLS = ["chat_id", "msg_pos", "email", "rating", "question", "answer"]
 
 
+def drain(spark, base, **kw):
+    ST.start_extract(ST.chat_stream(spark, f"{base}/landing", **kw), f"{base}/out", f"{base}/ckpt").awaitTermination()
+
+
 def test_stream_extract_equals_batch_and_rerun_adds_nothing(spark):
     chat, users = chat_and_users(spark, SF01)
     base = scratch_path(spark, "t-stream")
     chat.repartition(3, "id").write.parquet(f"{base}/landing")
-    stream = ST.chat_stream(spark, f"{base}/landing", max_files_per_trigger=1)
-    ST.start_extract(stream, users, f"{base}/out", f"{base}/ckpt").awaitTermination()
-    got = spark.read.parquet(f"{base}/out").select(COLS)
-    want = E.extract_feedback(chat, users, sort=False).select(COLS)
-    assert sorted(got.collect()) == sorted(want.collect())
-    ST.start_extract(ST.chat_stream(spark, f"{base}/landing"), users, f"{base}/out",
-                     f"{base}/ckpt").awaitTermination()
-    assert spark.read.parquet(f"{base}/out").count() == want.count()
+    drain(spark, base, max_files_per_trigger=1)
+    want = sorted(E.extract_feedback(chat, users, sort=False).select(COLS).collect())
+    assert sorted(ST.current_feedback(spark, f"{base}/out", users).select(COLS).collect()) == want
+    assert spark.read.parquet(f"{base}/out/heads").select("batch_id").distinct().count() > 1
+    drain(spark, base)
+    assert sorted(ST.current_feedback(spark, f"{base}/out", users).select(COLS).collect()) == want
+    # a new checkpoint lands everything again: same result, before and after compaction
+    ST.start_extract(ST.chat_stream(spark, f"{base}/landing"), f"{base}/out", f"{base}/ckpt2").awaitTermination()
+    assert sorted(ST.current_feedback(spark, f"{base}/out", users).select(COLS).collect()) == want
+    assert ST.compact(spark, f"{base}/out") == 2
+    assert sorted(ST.current_feedback(spark, f"{base}/out", users).select(COLS).collect()) == want
+
+
+def rated_doc(rating, ts, extra=""):
+    return ('{"history":{"messages":{"q":{"role":"user","content":"Same Q"},'
+            '"a":{"role":"assistant","parentId":"q","content":"Same A","timestamp":%d%s}}}}'
+            % (ts, '' if rating is None else ',"annotation":{"rating":%d}' % rating))
+
+
+def test_changed_chat_replaces_its_version(spark):
+    """Re-rated, then unrated again: always what a full rerun over the current chats gives; ids are text."""
+    users = spark.createDataFrame([("u1", "u@x")], "id string, email string")
+    base = scratch_path(spark, "t-changed")
+    schema = "id string, user_id string, chat string"
+    want = {2: [("same q|||same a", -0.5, 1)], 5: [("same q|||same a", 1.0, 1)], None: []}
+    for rating in (2, 5, None):
+        spark.createDataFrame([("c-1", "u1", rated_doc(rating, 2000))], schema).write.mode("append").parquet(f"{base}/landing")
+        drain(spark, base, schema=schema)
+        table = ST.current_reward_table(spark, f"{base}/out", users).collect()
+        assert [(r.key, r.reward, r.n_ratings) for r in table] == want[rating]
+
+
+def test_published_run_of_the_stream(spark):
+    chat, users = chat_and_users(spark, SF01)
+    base = scratch_path(spark, "t-publish")
+    chat.write.parquet(f"{base}/landing")
+    drain(spark, base)
+    st = ST.publish_current(spark, f"{base}/out", users, f"{base}/published", run_id="r1")
+    from rewardloom.sources.snapshot import read_cards, read_snapshot
+    assert st["status"] == "ready" and read_snapshot(spark, f"{base}/published", "r1").count() == st["samples"]
+    assert read_cards(spark, f"{base}/published", "r1").first().rows == st["samples"]
 
 
 def test_model_save_load_and_heldout(spark):
@@ -54,24 +91,6 @@ def test_dry_run_writes_nothing(spark, tmp_path):
     assert spark.read.parquet(path).where(F.col("run_id") == "t").count() == st["samples"]
 
 
-def test_stream_reward_table_update_and_complete_agree(spark):
-    from rewardloom.operators import clean as C
-    chat, users = chat_and_users(spark, SF01)
-    base = scratch_path(spark, "t-cache")
-    chat.repartition(3, "id").write.parquet(f"{base}/landing")
-    tables = {}
-    for mode in ("update", "complete"):
-        stream = ST.chat_stream(spark, f"{base}/landing", max_files_per_trigger=1)
-        ST.start_reward_cache(stream, users, f"{base}/{mode}", f"{base}/ckpt-{mode}",
-                              mode=mode).awaitTermination()
-        tables[mode] = sorted(ST.read_reward_table(spark, f"{base}/{mode}", mode).collect())
-    batch = R.build_reward_cache(R.reward_samples(C.clean_feedback(
-        E.extract_feedback(chat, users, sort=False))))
-    assert tables["update"] == tables["complete"] == sorted(batch.select("key", "reward", "n_ratings").collect())
-    # several micro-batches were written
-    assert spark.read.parquet(f"{base}/update").select("batch_id").distinct().count() > 1
-
-
 def test_chat_source_json_roundtrip(spark):
     from rewardloom.sources import read_chat
     chat, _ = chat_and_users(spark, SF01)
@@ -114,23 +133,14 @@ def test_score_is_margin_brute_force(spark):
 
 
 def test_late_older_rating_wins_retroactively(spark):
-    """Run 1 sees a newer rating of a (question, answer) key; an older rating
-    of the same key lands later in the same folder and is picked up by the
-    next run on the same checkpoint: the published table switches to it."""
-    def doc(rating, ts):
-        return ('{"history":{"messages":{"q":{"role":"user","content":"Same Q"},'
-                '"a":{"role":"assistant","parentId":"q","content":"Same A","timestamp":%d,'
-                '"annotation":{"rating":%d}}}}}' % (ts, rating))
+    """Run 1 sees a newer rating of a (question, answer) key; an older rating of the same key lands later and is
+    picked up by the next run on the same checkpoint: the table switches to it."""
     users = spark.createDataFrame([(1, "u@x")], "id bigint, email string")
     base = scratch_path(spark, "t-late")
     schema = "id bigint, user_id bigint, chat string"
-    landing, out, ckpt = f"{base}/landing", f"{base}/out", f"{base}/ckpt"
-    spark.createDataFrame([(1, 1, doc(5, 2000))], schema).coalesce(1).write.parquet(landing)
-    ST.start_reward_cache(ST.chat_stream(spark, landing), users, out, ckpt).awaitTermination()
-    first = ST.read_reward_table(spark, out).collect()
-    assert [(r.key, r.reward, r.n_ratings) for r in first] == [("same q|||same a", 1.0, 1)]
-    spark.createDataFrame([(2, 1, doc(1, 1000))], schema).coalesce(1).write.mode("append").parquet(landing)
-    ST.start_reward_cache(ST.chat_stream(spark, landing), users, out, ckpt).awaitTermination()
-    after = ST.read_reward_table(spark, out).collect()
-    assert [(r.key, r.reward, r.n_ratings) for r in after] == [("same q|||same a", -1.0, 2)]
-    assert spark.read.parquet(out).select("batch_id").distinct().count() == 2
+    got = []
+    for i, (rating, ts) in enumerate([(5, 2000), (1, 1000)]):
+        spark.createDataFrame([(i, 1, rated_doc(rating, ts))], schema).write.mode("append").parquet(f"{base}/landing")
+        drain(spark, base)
+        got += [(r.key, r.reward, r.n_ratings) for r in ST.current_reward_table(spark, f"{base}/out", users).collect()]
+    assert got == [("same q|||same a", 1.0, 1), ("same q|||same a", -1.0, 2)]
