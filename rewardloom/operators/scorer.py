@@ -1,15 +1,18 @@
 """A pairwise (Bradley–Terry) reward scorer in Spark ML.
 
 Features: hashed term counts of the scorer input text ("question" template +
-answer, truncated to ``scorer_max_tokens`` tokens).  Training rows are the
-feature differences chosen - rejected (label 1) and rejected - chosen
-(label 0); a logistic regression without intercept then gives a score
-``w · x`` whose differences are pair log-odds.  Fitting is Spark ML's
+answer, truncated to ``scorer_max_tokens`` tokens).  A training row is a
+pair's feature difference, chosen - rejected (label 1) or rejected - chosen
+(label 0) by a hash of the pair; a logistic regression without intercept (for
+which both orientations have the same loss) then gives a score ``w · x``
+whose differences are pair log-odds.  Fitting is Spark ML's
 distributed L-BFGS; scoring is a plain ``transform``.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -33,24 +36,22 @@ def _htf(n_features: int, out: str = "features") -> HashingTF:
 
 def pair_training_rows(pairs: DataFrame, n_features: int = DEFAULT_SETTINGS.hashing_features,
                        max_tokens: int = DEFAULT_SETTINGS.scorer_max_tokens) -> DataFrame:
-    """(features = x_chosen - x_rejected, label 1) and the mirrored row (label 0)."""
+    """(features, label): x_chosen - x_rejected and 1, or x_rejected - x_chosen and 0, by a hash of the pair."""
+    way = F.when(F.pmod(F.xxhash64("prompt", "chosen", "rejected"), F.lit(2)) == 0, 1.0).otherwise(-1.0)
     c = _htf(n_features, "fc").transform(
         pairs.withColumn(TOKENS, scorer_tokens("prompt", "chosen", max_tokens))).drop(TOKENS)
     r = _htf(n_features, "fr").transform(
-        c.withColumn(TOKENS, scorer_tokens("prompt", "rejected", max_tokens))).drop(TOKENS)
-    diff = F.zip_with(vector_to_array("fc"), vector_to_array("fr"), lambda x, y: x - y)
-    keep = [x for x in r.columns if x not in ("fc", "fr")]
-    base = r.select(*keep, diff.alias("_d"))
-    pos = base.select(*keep, array_to_vector("_d").alias("features"), F.lit(1.0).alias("label"))
-    neg = base.select(*keep, array_to_vector(F.transform("_d", lambda x: -x)).alias("features"),
-                      F.lit(0.0).alias("label"))
-    return pos.unionByName(neg)
+        c.withColumn(TOKENS, scorer_tokens("prompt", "rejected", max_tokens)).withColumn("_way", way)).drop(TOKENS)
+    diff = F.zip_with(vector_to_array("fc"), vector_to_array("fr"), lambda x, y: (x - y) * F.col("_way"))
+    keep = [x for x in r.columns if x not in ("fc", "fr", "_way")]
+    return r.select(*keep, array_to_vector(diff).alias("features"), ((F.col("_way") + 1) / 2).alias("label"))
 
 
 def fit_reward_model(pairs: DataFrame, reg_param: float = 0.01, max_iter: int = 100,
                      n_features: int = DEFAULT_SETTINGS.hashing_features,
                      max_tokens: int = DEFAULT_SETTINGS.scorer_max_tokens) -> PipelineModel:
-    """Fit on pairs; returns a PipelineModel (hashing + logistic).
+    """Fit on pairs; returns a PipelineModel (hashing + logistic).  Warns
+    when ``max_iter`` ends the fit before it converged.
 
     Raw term counts are badly conditioned; with per-feature standardization
     L-BFGS converges (≈45 iterations at sf0.1) instead of running out of
@@ -61,7 +62,10 @@ def fit_reward_model(pairs: DataFrame, reg_param: float = 0.01, max_iter: int =
     try:
         lr = LogisticRegression(featuresCol="features", labelCol="label", fitIntercept=False,
                                 regParam=reg_param, maxIter=max_iter, standardization=True)
-        return PipelineModel(stages=[_htf(n_features), lr.fit(rows)])
+        fitted = lr.fit(rows)
+        if fitted.hasSummary and fitted.summary.totalIterations >= max_iter:
+            warnings.warn(f"the reward model did not converge in {max_iter} iterations", RuntimeWarning, stacklevel=2)
+        return PipelineModel(stages=[_htf(n_features), fitted])
     finally:
         rows.unpersist()
 

@@ -109,9 +109,9 @@ def reward_sign_counts(spark, sf):
 
 @query("unique_questions", """
 SELECT question, chat_id AS first_chat_id, msg_pos AS first_msg_pos, n FROM (
-  SELECT question, chat_id, msg_pos, count(*) OVER (PARTITION BY question) AS n,
+  SELECT question, chat_id, msg_pos, epoch, turn, count(*) OVER (PARTITION BY question) AS n,
     row_number() OVER (PARTITION BY question ORDER BY epoch DESC NULLS FIRST, chat_id, turn) AS rn
-  FROM fx_feedback) WHERE rn = 1""")
+  FROM fx_feedback) WHERE rn = 1 ORDER BY epoch DESC NULLS FIRST, chat_id, turn""")
 def unique_questions(spark, sf):
     uq = R.unique_questions(feedback(spark, sf))
     return uq.select("question", F.col("first_seq.id").alias("first_chat_id"),

@@ -26,15 +26,29 @@ PATTERNS = {
     "scans": r"Scan parquet",
     "top-k": r"TakeOrderedAndProject",
 }
-SKIP = {"stream_extract", "stream_reward_cache", "reward_model_fit", "score_batch",
-        "score_unrated", "pair_model_selection"}
+SKIP = {"stream_extract", "stream_reward_cache", "stream_rerun_updated", "stream_late_user", "run_dry",
+        "published_card", "reward_model_fit", "score_batch", "score_unrated", "pair_model_selection"}
+
+
+def final_sections(plan: str) -> str:
+    """The plan without its "Initial Plan" sections: the main plan's own and those inside subqueries.  A
+    section is its heading and the lines that begin further right."""
+    out, skip = [], None
+    for line in plan.split("\n"):
+        at = len(line) - len(line.lstrip(" :"))
+        if skip is not None and at > skip:
+            continue
+        skip = at if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
 
 
 def final_plan(df) -> str:
-    """The adaptive plan after execution, final section only."""
+    """The adaptive plan after execution, final sections only."""
     qe = df._jdf.queryExecution()
     qe.toRdd().count()              # run this DataFrame's own plan, JVM side
-    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    return final_sections(qe.executedPlan().toString())
 
 
 def main(argv):
