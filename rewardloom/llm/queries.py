@@ -70,5 +70,34 @@ def queries() -> dict:
     return {n: _ready(found[n]) for n in sorted(found, key=lambda n: int(n[2:].split("_")[0]))}
 
 
+# every pair of documents that shares a 5-gram, and the documents that links connect
+_NGRAM_JOIN_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+         lambda x: x <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y, shared = s.n AND shared = t.n AS same FROM pairs JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE shared >= 0.8 * (s.n + t.n - shared)
+  UNION ALL
+  SELECT a.doc_id, b.doc_id, true FROM words a JOIN words b ON a.doc_id <> b.doc_id WHERE len(a.w) = 0 AND len(b.w) = 0),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y),
+classes AS (SELECT x AS doc_id, min(y) AS class_id FROM reached GROUP BY x),
+counts AS (SELECT x AS doc_id, count(*) AS n_links, min(y) FILTER (same) AS other FROM links GROUP BY x)
+SELECT c.doc_id, c.class_id, least(c.doc_id, coalesce(k.other, c.doc_id)) AS text_class, coalesce(k.n_links, 0) AS n_links
+FROM classes c LEFT JOIN counts k ON k.doc_id = c.doc_id"""
+
+
 def oracle_sql() -> dict:
-    return {}
+    return {"op8_ngram_bands": _NGRAM_JOIN_SQL}
