@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rewardloom.config import Settings
 from rewardloom.operators import runs as O
 from rewardloom.plans.inputs import chat_and_users, epoch_of
 from rewardloom.plans.oracle import key as okey
@@ -96,7 +97,8 @@ FROM fx_samples""")
 def published_card(spark, sf):
     """S4 as a real run writes it next to its snapshot."""
     path = scratch_path(spark, "published")
-    O.execute_run(_run(spark, sf), sink_path=path)
+    chat, users = chat_and_users(spark, sf)
+    O.execute_run(O.feedback_run(chat, users, run_id=RUN_ID, settings=Settings(min_feedback_samples=1)), sink_path=path)
     return read_cards(spark, path, RUN_ID).select("run_id", "rows", "distinct_prompts", "mean_rating", "min_rating", "max_rating",
                                                   "mean_reward", "max_epoch")
 
