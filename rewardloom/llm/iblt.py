@@ -79,17 +79,21 @@ def peel(cells: Column, salt: Column) -> Column:
 
     def step(state, _):
         lone = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == _check(c["k"])))
-        found = F.array_distinct(F.transform(lone, lambda c: F.struct(c["n"].alias("n"), _one(c["k"], salt).alias("x"))))
+        given = F.array_distinct(F.transform(lone, lambda c: F.struct(c["n"].alias("n"), _one(c["k"], salt).alias("x"))))
 
-        def take(cell, i):
-            here = F.filter(found, lambda f: F.array_contains(f["x"]["at"], i))
-            return F.aggregate(here, cell, lambda c, f: F.struct(
-                (c["n"] - f["n"]).alias("n"), c["k"].bitwiseXOR(f["x"]["k"]).alias("k"), c["c"].bitwiseXOR(f["x"]["c"]).alias("c")))
+        def taken_out(found):
+            def take(cell, i):
+                here = F.filter(found, lambda f: F.array_contains(f["x"]["at"], i))
+                return F.aggregate(here, cell, lambda c, f: F.struct(
+                    (c["n"] - f["n"]).alias("n"), c["k"].bitwiseXOR(f["x"]["k"]).alias("k"), c["c"].bitwiseXOR(f["x"]["c"]).alias("c")))
 
-        of = lambda sign: F.transform(F.filter(found, lambda f: f["n"] == sign), lambda f: f["x"]["k"])
-        return F.when(F.size(lone) == 0, state).otherwise(F.struct(
-            F.transform(state["cells"], take).alias("cells"), F.concat(state["a"], of(1)).alias("a"),
-            F.concat(state["b"], of(-1)).alias("b")))
+            of = lambda sign: F.transform(F.filter(found, lambda f: f["n"] == sign), lambda f: f["x"]["k"])
+            return F.when(F.size(found) == 0, state).otherwise(F.struct(
+                F.transform(state["cells"], take).alias("cells"), F.concat(state["a"], of(1)).alias("a"),
+                F.concat(state["b"], of(-1)).alias("b")))
+
+        # the array of one binds the round's digests to a variable, so they aren't found again for every cell
+        return F.element_at(F.transform(F.array(given), taken_out), 1)
 
     start = F.struct(cells.alias("cells"), none.alias("a"), none.alias("b"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(
