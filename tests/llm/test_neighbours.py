@@ -110,3 +110,12 @@ def test_vectors_edges(spark):
     assert got == {q: [j for _, j in best] for q, best in brute_nearest(rows)}
     assert nearest(df.limit(0)).count() == 0
     assert nearest(df.where("vec_id = 0")).count() == 0
+
+
+def test_join_matches_sql(spark):
+    from rewardloom.llm.queries import op8_ngram_bands, oracle_sql
+    from tests.conftest import SF001
+    from tools.oracle_check import connect
+    want = connect(SF001).execute(oracle_sql()["op8_ngram_bands"]).fetchall()
+    got = op8_ngram_bands(spark, SF001).select("doc_id", "class_id", "text_class", "n_links").collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
