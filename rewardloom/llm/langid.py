@@ -65,8 +65,8 @@ def rates(texts: list[str]) -> np.ndarray:
 
 
 def svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, turns: int = 120) -> tuple[np.ndarray, float]:
-    """Weights and offset of the plane that minimises |w|^2 / 2 + cost * mean squared hinge (accelerated descent)."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Weights and offset of the plane that minimises |w|^2 / 2 + cost * mean squared hinge (accelerated descent).  The last
+    column of ``x`` is 1."""
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
     v = np.random.default_rng(0).normal(size=x.shape[1]).astype(np.float32)
     for _ in range(20):                               # the largest curvature, for the step
@@ -99,17 +99,20 @@ class Model:
         self.members = {f: sorted(set(lang[family == f])) for f in self.families}
         self.duels: dict = {}
         planes, offsets = [], []
-        x = x if len(x) else np.zeros((1, DIMS), np.float32)
-        deviation = np.maximum(x.std(axis=0), 1e-5)
-        mean = x.mean(axis=0)
-        z = ((x - mean) / deviation)[:len(lang)]
+        # x is the one large array here (rates and a column of ones): it is standardised in place
+        rates_ = x[:, :DIMS]
+        mean = rates_.mean(axis=0) if len(x) else np.zeros(DIMS, np.float32)
+        deviation = np.maximum(rates_.std(axis=0), 1e-5) if len(x) else np.ones(DIMS, np.float32)
+        rates_ -= mean
+        rates_ /= deviation
         for names, labels in [(self.families, family), *[(m, lang) for m in self.members.values()]]:
             for i, a in enumerate(names):
                 for b in names[i + 1:]:
                     rows = (labels == a) | (labels == b)
+                    part = x if rows.all() else x[rows]
                     y = np.where(labels[rows] == a, 1, -1).astype(np.float32)
-                    w, c = svm(z[rows], y)
-                    self.duels[a, b] = (len(planes), _slope(z[rows] @ w + c, y))
+                    w, c = svm(part, y)
+                    self.duels[a, b] = (len(planes), _slope(part[:, :DIMS] @ w + c, y))
                     planes.append(w / deviation)
                     offsets.append(c - float((w / deviation) @ mean))
         self.planes = np.array(planes, np.float32).reshape(len(planes), DIMS)
@@ -164,12 +167,17 @@ def learn(docs: DataFrame, sample: int = 4000, families: dict | None = None, fol
 
     # the sample's ids are at most ``sample`` rows (20 a language at least), so they are sent to every task
     texts = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(r"\p{L}"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("lang", "text").mapInArrow(featured, "lang string, at array<int>, rate array<float>").toPandas()
-    rows = rows.iloc[np.argsort(rows["lang"].to_numpy(dtype=str), kind="stable")]
-    x = np.zeros((len(rows), DIMS), np.float32)
-    for i, (at, rate) in enumerate(zip(rows["at"], rows["rate"])):
-        x[i, at] = rate
-    return Model(x, rows["lang"].to_numpy(dtype=object), families or FAMILIES)
+    rows = (texts.join(F.broadcast(chosen), "doc_id").select("lang", "text")
+            .mapInArrow(featured, "lang string, at array<int>, rate array<float>").toArrow().combine_chunks())
+    lang = np.array(rows.column("lang").to_pylist(), dtype=object)
+    order = np.argsort(lang.astype(str), kind="stable")
+    x = np.zeros((len(lang), DIMS + 1), np.float32)
+    x[:, DIMS] = 1
+    if len(lang):
+        at, rate = (rows.column(c).chunk(0) for c in ("at", "rate"))
+        sizes = np.diff(at.offsets.to_numpy())
+        x[np.repeat(np.argsort(order), sizes), at.flatten().to_numpy()] = rate.flatten().to_numpy()
+    return Model(x, lang[order], families or FAMILIES)
 
 
 def predictions(docs: DataFrame, keep: list, model: Model) -> DataFrame:
