@@ -44,7 +44,7 @@ _ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("shard", pa.i
 def _squeeze(a: np.ndarray) -> bytes:
     """Numbers by byte plane, compressed."""
     a = np.ascontiguousarray(a)
-    return zstandard.ZstdCompressor(1).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(3).compress(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
 
 def _expand(data: bytes, kind) -> np.ndarray:
@@ -86,11 +86,11 @@ def _gram_shards(grams: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _words(texts: list[bytes]) -> list[bytes]:
-    """The block's different words in the order they come."""
-    found: dict[bytes, None] = {}
+    """The block's different words, sorted (neighbours alike compress well)."""
+    found: set[bytes] = set()
     for text in texts:
-        found.update(dict.fromkeys(text.split()))
-    return list(found)
+        found.update(text.split())
+    return sorted(found)
 
 
 def _word_shards(words: list[bytes], shards: int) -> np.ndarray:
@@ -105,7 +105,7 @@ def _asked(batches, order: int, block_bytes: int, shards: int, fold: int):
         at, rows = (part << 24) + number, []
         batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(held), pa.array(texts, pa.binary())], schema=_DOCS)
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
             out.write_batch(batch)
         rows.append((TEXTS, at, 0, sink.getvalue().to_pybytes(), None))
         keys, counts = [], []
@@ -132,7 +132,7 @@ def _asked(batches, order: int, block_bytes: int, shards: int, fold: int):
         cut = np.searchsorted(shard[by], np.arange(shards + 1))
         for s in np.unique(shard).tolist():
             mine = [words[k] for k in by[cut[s]:cut[s + 1]]]
-            rows.append((WORDS, at, s, zstandard.ZstdCompressor(1).compress(b" ".join(mine)),
+            rows.append((WORDS, at, s, zstandard.ZstdCompressor(3).compress(b" ".join(mine)),
                          _squeeze(np.array([seen[w] for w in mine], np.uint32))))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROW)], schema=_ROW)
 
@@ -304,7 +304,7 @@ def score(docs: DataFrame, order: int = 5, fold: int = 10, block_bytes: int = 8_
     sums = materialize(grams.groupBy("to").applyInArrow(lambda t: _gram_sums(t), "shard int, gram long, c long"), "ppm-grams")
     logp = materialize(log_probabilities(sums, order), "ppm-trie")
     shape = "block long, kind int, shard int, known long, values binary"
-    told = (grams.groupBy("to").cogroup(logp.groupBy("shard")).applyInArrow(_gram_answers, shape)
+    told = (grams.drop("counts").groupBy("to").cogroup(logp.groupBy("shard")).applyInArrow(_gram_answers, shape)
             .unionByName(asked.where(F.col("kind") == WORDS).select(F.col("shard").alias("to"), "block", "shard", "keys", "counts")
                          .groupBy("to").applyInArrow(lambda t: _word_answers(t), shape)))
     blocks = asked.where(F.col("kind") == TEXTS).select(F.col("block").alias("at"), "keys")
