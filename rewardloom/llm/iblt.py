@@ -107,16 +107,22 @@ def as_text(keys: Column, cells: Column) -> Column:
     return F.concat_ws(";", F.size(keys).cast("string"), F.array_join(F.transform(cells, cell), ","))
 
 
+def _if_open(whole: str) -> list[Column]:
+    """The digests of pairs that must be tried again."""
+    return [F.when(~F.col(whole), F.col(c)).alias(c) for c in ("a", "b")]
+
+
 def differences(pairs: DataFrame, tries: int = 14) -> DataFrame:
     """(pair, a, b: arrays of digests) -> (pair, n_a, n_b, only_a, only_b), the sizes of the sets and of the
     differences that the sketches gave back."""
     spark = pairs.sparkSession
     sizes = [F.size("a").alias("n_a"), F.size("b").alias("n_b")]
     salt = F.lit(0).cast("long")
-    todo = materialize(pairs.select("pair", "a", "b", *sizes, peel(subtract(sketch(F.col("a"), salt), sketch(F.col("b"), salt)), salt)
-                                    .alias("got")), "sketch-try0")
-    done = [todo.where("got.whole").select("pair", "n_a", "n_b", F.size("got.only_a").alias("only_a"), F.size("got.only_b").alias("only_b"))]
-    todo = todo.where("NOT got.whole").select("pair", "a", "b", "n_a", "n_b")
+    tried = pairs.select("pair", "a", "b", *sizes, peel(subtract(sketch(F.col("a"), salt), sketch(F.col("b"), salt)), salt).alias("got"))
+    tried = materialize(tried.select("pair", *_if_open("got.whole"), "n_a", "n_b", F.col("got.whole").alias("whole"),
+                                     F.size("got.only_a").alias("only_a"), F.size("got.only_b").alias("only_b")), "sketch-try0")
+    done = [tried.where("whole").select("pair", "n_a", "n_b", "only_a", "only_b")]
+    todo = tried.where("NOT whole").select("pair", "a", "b", "n_a", "n_b")
     for number in range(1, tries + 1):
         if todo.isEmpty():
             break
@@ -131,7 +137,8 @@ def differences(pairs: DataFrame, tries: int = 14) -> DataFrame:
         got = bins.select("pair", peel(subtract(sketch(F.col("a"), salt), sketch(F.col("b"), salt)), salt).alias("got"))
         summed = got.groupBy("pair").agg(F.bool_and("got.whole").alias("whole"), F.sum(F.size("got.only_a")).cast("int").alias("only_a"),
                                          F.sum(F.size("got.only_b")).cast("int").alias("only_b"))
-        tried = materialize(todo.join(summed, "pair"), f"sketch-try{number}")
+        tried = materialize(todo.join(summed, "pair").select("pair", *_if_open("whole"), "n_a", "n_b", "whole", "only_a", "only_b"),
+                            f"sketch-try{number}")
         done.append(tried.where("whole").select("pair", "n_a", "n_b", "only_a", "only_b"))
         todo = tried.where("NOT whole").select("pair", "a", "b", "n_a", "n_b")
     else:
@@ -146,29 +153,31 @@ def likeness(n_a: Column, n_b: Column, only_a: Column, only_b: Column) -> Column
 
 def fingerprint(docs: DataFrame, **how) -> DataFrame:
     """Rows (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)."""
-    rows = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    light = rows.groupBy("doc_id", "h").agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("copies"))
-    numbered = materialize(sequential_index(light, [F.col("doc_id").asc_nulls_first(), "h"], "at"), "sketch-order")
-    total = numbered.agg(F.max("at")).first()[0]
-    total = 0 if total is None else total + 1
-    after = numbered.select(F.pmod(F.col("at") + 1, F.lit(max(total, 1))).alias("next"), F.col("at").alias("taker"),
-                            F.floor(F.col("n") / 4).cast("int").alias("want"))
-    plan = numbered.alias("m").join(after.alias("f"), F.expr("m.at = f.next")).select("m.doc_id", "m.h", "m.n", "m.copies", "m.at", "f.taker", "f.want")
-    # each document once with its text; the text goes by (doc_id, h) in one shuffle
-    keyed = (rows.alias("r").join(plan.alias("p"), F.expr("r.doc_id <=> p.doc_id AND r.h = p.h"))
-             .select("p.doc_id", "p.n", "p.copies", "p.at", "p.taker", "p.want", "r.text"))
-    given = keyed.select(F.col("taker").alias("to"), F.expr("substring(text, 1, want)").alias("prefix")).groupBy("to").agg(F.min("prefix").alias("prefix"))
-    texts = (keyed.alias("k").join(given.alias("g"), F.expr("k.at = g.to"))
-             .select("at", "doc_id", "n", "text", F.concat(F.expr("substring(text, 1, n - cast(floor(n / 4) AS int))"), "prefix").alias("edited")))
+    key = ["none", "id", "h"]         # whether the id is null, the id, the text's hash: plain columns, so that both joins below share one shuffle
+    doc_id, text = column_or_null(docs, "doc_id", "long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(doc_id.isNull().alias("none"), F.coalesce(doc_id, F.lit(0)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    light = rows.groupBy(*key).agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("copies"))
+    numbered = materialize(sequential_index(light, [F.col("none").desc(), "id", "h"], "at"), "sketch-order")
+    total, copies = numbered.agg(F.count(F.lit(1)), F.max("copies")).first()
+    after = numbered.select(F.pmod(F.col("at") + 1, F.lit(max(total, 1))).alias("next"), F.col("none").alias("to_none"),
+                            F.col("id").alias("to_id"), F.col("h").alias("to_h"), F.floor(F.col("n") / 4).cast("int").alias("want"))
+    plan = numbered.join(after, F.col("at") == F.col("next")).select(*key, "n", "at", "to_none", "to_id", "to_h", "want")
+    # the text goes by its key in one shuffle; only the prefix that the document before asks for goes on
+    keyed = rows.join(plan, key)
+    given = (keyed.select(F.col("to_none").alias("none"), F.col("to_id").alias("id"), F.col("to_h").alias("h"),
+                          F.expr("substring(text, 1, want)").alias("prefix")).groupBy(*key).agg(F.min("prefix").alias("prefix")))
+    texts = (keyed.join(given, key)
+             .select("at", F.when(~F.col("none"), F.col("id")).alias("doc_id"), "n", "text",
+                     F.concat(F.expr("substring(text, 1, n - cast(floor(n / 4) AS int))"), "prefix").alias("edited")))
     zero = F.lit(0).cast("long")
     with_keys = texts.select("at", "doc_id", F.col("n").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                              digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"))
     base = materialize(with_keys, "sketch-digests")
-    own = base.select(F.col("at"), F.col("a"))
-    following = own.select(F.pmod(F.col("at") - 1, F.lit(max(total, 1))).alias("at"), F.col("a").alias("b")).dropDuplicates(["at"])
-    pairs = (own.dropDuplicates(["at"]).join(following, "at").select((F.col("at") * 2).alias("pair"), "a", "b")
-             .unionByName(base.select((F.col("at") * 2 + 1).alias("pair"), "a", "b").dropDuplicates(["pair"])))
+    one = base.dropDuplicates(["at"]) if (copies or 0) > 1 else base        # rows equal in id and text are compared once
+    own = one.select("at", "a")
+    following = one.select(F.pmod(F.col("at") - 1, F.lit(max(total, 1))).alias("at"), F.col("a").alias("b"))
+    pairs = (own.join(following, "at").select((F.col("at") * 2).alias("pair"), "a", "b")
+             .unionByName(one.select((F.col("at") * 2 + 1).alias("pair"), "a", "b")))
     near = differences(pairs, **how).select("pair", likeness(F.col("n_a"), F.col("n_b"), F.col("only_a"), F.col("only_b")).alias("near"))
     near = near.groupBy(F.shiftright("pair", 1).alias("at")).agg(
         F.max(F.when(F.col("pair") % 2 == 1, F.col("near"))).alias("near_edited"),
