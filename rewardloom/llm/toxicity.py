@@ -11,7 +11,9 @@ A text must not meet a lexicon that it taught, or training features would promis
 learning rows fall in two halves, each half's features come from the other half's lexicon, and the full lexicon
 serves for scoring.  Trees are fitted on two thirds of the learning rows, the isotonic curve on the last third.
 
-At most ``sample`` labelled rows are learned from (half of them, at most, toxic ones); every text is scored whole.
+At most ``sample`` labelled rows are learned from (half of them, at most, of each label); every text is scored whole.
+A row counts, for the trees and the curve, as many times as its label has labelled rows in the fold for each sampled
+one, so a score is a chance among the labelled texts whatever part of a label is sampled.
 
 Defined cases: a null text is the empty text and gets the score of its features like any other; without both labels
 among the learning rows every score is the share of label 1 there (0 without any); of several labels of a document
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -135,13 +138,16 @@ def _with_seed(learned: dict[str, float]) -> dict[str, float]:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, keep, sample: int) -> DataFrame:
-    """(doc_id, label, text) of at most ``sample`` labelled documents for which ``keep`` holds, the rarer label at
-    most half of them; their ids are few enough to send to every task."""
+    """(doc_id, label, weight, text) of at most ``sample`` labelled documents for which ``keep`` holds, each label at
+    most half of them; their ids are few enough to send to every task.  weight: the label's documents for each sampled one."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
               .where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).where(keep))
-    chosen = bounded_sample(marked.where("label = 1"), sample // 2).unionByName(bounded_sample(marked.where("label = 0"), sample // 2))
+    most = sample // 2
+    size = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}      # one row a label
+    chosen = reduce(DataFrame.unionByName, [bounded_sample(marked.where(F.col("label") == y), most).withColumn(
+        "weight", F.lit(max(size.get(y, 0) / max(most, 1), 1.0))) for y in (1, 0)])
     texts = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "weight", "text")
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 12000, fold: int = 4, held: int = 2,
@@ -156,13 +162,13 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int
     if share[1] is None or share[1] == share[2]:
         return out.select("doc_id", held_out, F.lit(float(share[0] or 0)).alias("score"), F.lit(int((share[0] or 0) >= threshold)).alias("predicted"))
     lexicons = [_with_seed(learned_lexicon(rows.where(F.col("half") != h))) for h in (0, 1)]
-    x = materialize(with_features(rows.select("doc_id", "label", "half", "text"), lexicons), "toxic-features")
+    x = materialize(with_features(rows.select("doc_id", "label", "weight", "half", "text"), lexicons), "toxic-features")
     x = x.select(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(3)).alias("third"), F.col("label").cast("double").alias("label"),
-                 array_to_vector("x").alias("features"))
-    trees = GBTClassifier(maxIter=24, maxDepth=4, stepSize=0.25, minInstancesPerNode=4, seed=5).fit(x.where("third > 0"))
+                 "weight", array_to_vector("x").alias("features"))
+    trees = GBTClassifier(maxIter=24, maxDepth=4, stepSize=0.25, minInstancesPerNode=4, seed=5, weightCol="weight").fit(x.where("third > 0"))
     chance = vector_to_array("probability")[1]
-    curve = IsotonicRegression(featuresCol="raw", predictionCol="score").fit(
-        trees.transform(x.where("third = 0")).select("label", chance.alias("raw")))
+    curve = IsotonicRegression(featuresCol="raw", predictionCol="score", weightCol="weight").fit(
+        trees.transform(x.where("third = 0")).select("label", "weight", chance.alias("raw")))
     full = _with_seed(learned_lexicon(rows))
     every = with_features(out, [full]).select("doc_id", array_to_vector("x").alias("features"))
     scored = curve.transform(trees.transform(every).select("doc_id", chance.alias("raw")))

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from rewardloom.llm.quality import accepted_rows, posteriors
@@ -42,6 +43,17 @@ def test_toxicity_edges(edge, empty, labels, no_labels, spark):
     assert score(empty, marks).count() == 0
 
 
+def test_small_sample_keeps_the_share(spark):
+    """Half of the sample is toxic, a tenth of the documents: the scores' mean stays near a tenth."""
+    rng = random.Random(4)
+    toxic = [int(i % 10 == 0) for i in range(3000)]
+    words = lambda y: [f"w{rng.randrange(300)}" for _ in range(12)] + (["you", "idiot"] if rng.random() < (0.6 if y else 0.1) else [])
+    docs = spark.createDataFrame([(i, " ".join(words(y))) for i, y in enumerate(toxic)], "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    rows = score(docs, labels, sample=400).collect()
+    assert abs(sum(r.score for r in rows) / len(rows) - 0.1) < 0.05
+
+
 def test_quality_held_out(spark):
     from pyspark.sql import functions as F
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
