@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame functions only.
 
-A paragraph is a line, or in a document of under ``SHORT`` code points, which has few lines, a sentence; a
-document's set of paragraphs becomes a set of 64-bit digests.  A sketch is 3 rows of ``CELLS`` cells; a
+A paragraph is a sentence or a line without one: every text, of whatever length, is cut at line feeds and at spaces
+behind a full stop, exclamation or question mark.  A document's set of paragraphs becomes a set of 64-bit digests.  A sketch is 3 rows of ``CELLS`` cells; a
 digest goes into one cell of each row, which keeps how many digests it holds and the exclusive-or of
 the digests and of their check hashes.  Two sketches subtract cell by cell; digests
 in both cancel out.  A cell left with one digest (count 1 or -1, and its check hash fits) gives
@@ -30,11 +30,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rewardloom.llm.common import column_or_null, materialize
 from rewardloom.operators.indexing import sequential_index
 
-ROWS, CELLS, ROUNDS, SHORT = 3, 8, 10, 2000
+ROWS, CELLS, ROUNDS = 3, 8, 10
 
 
 def digests(text: Column) -> Column:
-    cut = F.when(F.length(text) < SHORT, F.split(text, r"\n|(?<=[.!?]) ", -1)).otherwise(F.split(text, "\n", -1))
+    cut = F.split(text, r"\n|(?<=[.!?]) ", -1)
     return F.array_sort(F.array_distinct(F.transform(cut, lambda x: F.xxhash64(x))))
 
 

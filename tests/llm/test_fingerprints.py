@@ -26,6 +26,21 @@ def test_against_sets(docs):
     assert all(abs(a - b) < 1e-12 for g, w in zip(got, want) for a, b in zip(g[3:], w[3:]))
 
 
+def test_one_rule_at_all_lengths(spark):
+    """Texts of one line that differ in a last sentence, on either side of 2,000 code points, and a far longer one."""
+    first = " ".join(f"Sentence {i} of the same line." for i in range(67))[:1990]
+    rows = [(1, first + ". End it"), (2, first + ". End it here!"), (3, " ".join(f"Is {i} another one?" for i in range(900)))]
+    assert len(rows[0][1]) < 2000 <= len(rows[1][1])
+    cut = lambda x: set(re.split(r"\n|(?<=[.!?]) ", x))
+    got = {r.doc_id: r for r in fingerprint(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    like = lambda a, b: len(a & b) / len(a | b)
+    for (i, x), (_, y) in zip(rows, rows[1:] + rows[:1]):
+        q = len(x) // 4
+        edited = cut(x[:len(x) - q] + y[:q])
+        assert abs(got[i].near_edited - like(cut(x), edited)) < 1e-12 and abs(got[i].near_next - like(cut(x), cut(y))) < 1e-12
+    assert got[1].near_next > 0.9 and all(r.near_edited > 0.4 for r in got.values())
+
+
 def test_equal_texts_equal_prints(edge):
     rows = fingerprint(edge).collect()
     assert len(rows) == edge.count()
