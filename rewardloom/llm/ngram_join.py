@@ -216,7 +216,7 @@ def _gram_sets(batches, n: int):
         yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(grams, pa.binary())], names=["cls", "grams"])
 
 
-def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.998, most_hashes: int = 128,
+def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999999, most_hashes: int = 128,
            block: int = 256) -> DataFrame:
     """Rows (doc_id, class_id, text_class, n_links, h, keeper) of all documents; keeper: the hash of the row that its
     class would keep (least doc_id, then least h)."""

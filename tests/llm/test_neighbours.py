@@ -63,6 +63,13 @@ def test_bands_reach_recall():
     assert bands * rows <= 128 and 1 - (1 - 0.8**rows) ** bands >= 0.998
 
 
+def test_pairs_at_the_threshold_meet(spark):
+    """4,000 pairs of exactly 0.8: the last 2 of 22 words differ, so 16 of 20 5-grams are in both."""
+    rows = [(2 * i + j, " ".join([f"p{i}_{k}" for k in range(20)] + [f"e{i}_{j}_{k}" for k in range(2)])) for i in range(4000) for j in (0, 1)]
+    got = linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 8000 and all(r.n_links == 1 and r.class_id == r.doc_id // 2 * 2 for r in got)
+
+
 def test_join_edges(edge, empty):
     rows = [tuple(r) for r in edge.select("doc_id", "text").collect()]
     got = sorted([(r.doc_id, r.class_id, r.n_links) for r in linked(edge).collect()], key=repr)
