@@ -142,7 +142,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     queries = materialize(classes.select("cls", "v").join(asking.select("cls").distinct(), "cls", "left_semi"), "curve-asked")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     largest = classes.agg(F.max(norm)).first()[0]
-    if largest is None:
+    if largest is None or queries.isEmpty():
         return spark.createDataFrame([], shape)
     some = classes.select("v").orderBy(F.xxhash64("v")).limit(4096).toPandas()["v"]       # at most 4096 vectors
     order = Curves(np.array(some.to_list()), largest, curves, dims, seed)

@@ -119,6 +119,13 @@ def test_vectors_edges(spark):
     assert nearest(df.where("vec_id = 0")).count() == 0
 
 
+def test_no_id_asks(spark):
+    """Usable vectors, but no id divisible by 20."""
+    df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(1, 20)], "vec_id long, embedding array<double>")
+    got = nearest(df)
+    assert got.count() == 0 and got.columns == ["query_id", "rank", "vec_id", "score"]
+
+
 def test_join_matches_sql(spark):
     from rewardloom.llm.queries import op8_ngram_bands, oracle_sql
     from tests.conftest import SF001
