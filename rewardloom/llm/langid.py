@@ -7,7 +7,8 @@ hinge, on standardised rates), so close languages are told apart by a plane that
 then the larger sum of margins.  Margins become probabilities by a sigmoid fitted to each machine; the score is the
 least of the winner's in its family's duels times the same in its language's duels.
 
-The machines learn on the driver from a bounded sample: at most ``sample`` documents, as many of each language.  All
+The machines learn on the driver from a sample: as many documents of each language, at most ``sample`` in all or 20 a
+language, whichever is more; so rows and duels on the driver grow with the number of values in lang.  All
 texts are then scored whole in one pass without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if nothing could be learned;
