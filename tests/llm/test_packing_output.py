@@ -30,6 +30,18 @@ def test_chunks_give_the_library_s_ids(path, spaces):
     assert all(g == w[:-1].tobytes() for g, w in zip(got, whole(path, texts)))
 
 
+@pytest.mark.parametrize("path,spaces", [(BYTE, "kept"), (WORD, "dropped")])
+def test_unmodified_tokenizer_differs_at_special_strings_only(path, spaces):
+    plain = Tokenizer.from_file(path)
+    texts = ["a plain text", "two  spaces\nand a line", "Word, word's 12!", "< |endoftext| >", "é ß 中"]
+    ids = lambda t: np.array(plain.encode(t, add_special_tokens=False).ids, "<u4")
+    enc = Encoder(path, spaces)
+    assert enc.batch(texts) == [ids(t).tobytes() for t in texts]
+    marked = "before <|endoftext|> behind"
+    mark = plain.token_to_id("<|endoftext|>")
+    assert mark in ids(marked) and mark not in np.frombuffer(enc.batch([marked])[0], "<u4")
+
+
 def test_fullest_is_the_best_subset():
     rng = random.Random(1)
     for _ in range(200):
