@@ -57,6 +57,21 @@ def op10_patched_blocks(spark, sf_dir):
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), "kept")
 
 
+def op11_bucket_shuffle(spark, sf_dir):
+    from rewardloom.llm.sharding import shard_and_read
+    return shard_and_read(documents(spark, sf_dir), shards=40)
+
+
+def op12_polarised_whitening(spark, sf_dir):
+    from rewardloom.llm.whitening import whiten
+    return whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
+def op13_automaton_ranking(spark, sf_dir):
+    from rewardloom.llm.lexical import search
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def _ready(query):
     """Workers import this package; where they can't find it (a session started elsewhere), it is sent to them."""
     def run(spark, sf_dir):
@@ -99,5 +114,30 @@ SELECT c.doc_id, c.class_id, least(c.doc_id, coalesce(k.other, c.doc_id)) AS tex
 FROM classes c LEFT JOIN counts k ON k.doc_id = c.doc_id"""
 
 
+_RANKING_SQL = """
+WITH doc_terms AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents),
+docs AS (SELECT row_number() OVER () AS row, doc_id, len(t) AS n, t FROM doc_terms WHERE len(t) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM docs),
+tfs AS (SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, n, unnest(t) AS term FROM docs) GROUP BY ALL),
+items AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+weighted AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals),
+scores AS (
+  SELECT i, item_id, row, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN tfs USING (term) JOIN weighted USING (term), totals GROUP BY i, item_id, row, doc_id)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict:
-    return {"op8_ngram_bands": _NGRAM_JOIN_SQL}
+    return {"op8_ngram_bands": _NGRAM_JOIN_SQL, "op13_automaton_ranking": _RANKING_SQL}
