@@ -26,9 +26,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rewardloom.llm.common import materialize, salted_join
+from rewardloom.llm.common import materialize
 from rewardloom.llm.ngram_join import _groups
 from rewardloom.operators.indexing import sequential_index
+from rewardloom.operators.skew import skew_safe_join
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -132,13 +133,16 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     spark = vectors.sparkSession
     shape = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors, id_col, vector_col)
-    # equal vectors are one class, named by its smallest id, with its k + 1 smallest ids; the row limit is applied before the shuffle too
-    place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    # equal vectors are one class with its k + 1 smallest ids; the row limit is applied before the shuffle too.  A class is
+    # known by 128 bits of hash of its vector, and numbered by its smallest id, so that ties between classes go by that
+    rows = rows.withColumn("h", F.struct(F.xxhash64("v").alias("a"), F.xxhash64(F.lit(1), "v").alias("b")))
+    place = F.row_number().over(Window.partitionBy("h").orderBy("vec_id"))
     kept = rows.withColumn("place", place).where(F.col("place") <= k + 1)
-    classes = materialize(kept.groupBy("v").agg(F.min("vec_id").alias("cls"), F.sort_array(F.collect_list("vec_id")).alias("members"))
-                          .select("cls", "v", "members"), "curve-classes")
-    asking = materialize(salted_join(rows.where(F.col("vec_id") % every == 0).select("v", F.col("vec_id").alias("query_id")),
-                                     classes.select("v", "cls"), "v").select("query_id", "cls"), "curve-queries")
+    classes = kept.groupBy("h").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("members"))
+    classes = materialize(sequential_index(classes.withColumn("least", F.get("members", F.lit(0))), ["least", "h"], "cls")
+                          .select("cls", "h", "v", "members"), "curve-classes")
+    asking = materialize(skew_safe_join(rows.where(F.col("vec_id") % every == 0).select("h", F.col("vec_id").alias("query_id")),
+                                        classes.select("h", "cls"), "h").select("query_id", "cls"), "curve-queries")
     queries = materialize(classes.select("cls", "v").join(asking.select("cls").distinct(), "cls", "left_semi"), "curve-asked")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     largest = classes.agg(F.max(norm)).first()[0]
@@ -204,11 +208,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     # the classes of a list give their members; one query drops itself
     merged = materialize(merged, "curve-lists")
     near = merged.select("query", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query", F.col("x.ids").alias("cls"), F.col("x.scores").alias("score"))
-    near = salted_join(near, classes.select("cls", "members"), "cls").groupBy("query").agg(
+    near = skew_safe_join(near, classes.select("cls", "members"), "cls").groupBy("query").agg(
         F.collect_list(F.struct("score", "members")).alias("all"))
     flat = F.flatten(F.transform("all", lambda c: F.transform(c["members"], lambda m: F.struct((-c["score"]).alias("s"), m.alias("m")))))
     near = near.select(F.col("query").alias("cls"), F.slice(F.array_sort(flat), 1, 2 * (k + 1)).alias("best"))
-    out = salted_join(asking, near, "cls")
+    out = skew_safe_join(asking, near, "cls")
     mine = F.slice(F.filter("best", lambda b: b["m"] != F.col("query_id")), 1, k)
     return (out.select("query_id", F.posexplode(mine).alias("pos", "b"))
                .select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("b.m").alias("vec_id"), (-F.col("b.s")).alias("score")))

@@ -18,7 +18,6 @@ predicted each; an empty table gives no rows; other columns aren't read.
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -45,10 +44,14 @@ FAMILIES = {
     "austronesian": "id ms jv tl".split(),
 }
 
-_LETTER = re.compile(r"[^\W\d_]")
 _ONLY = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode's category L is in the text, as ``\\p{L}`` finds it."""
+    return any(map(str.isalpha, text))
+
+
 def rates(texts: list[str]) -> np.ndarray:
     """(texts, DIMS) shares of hashed byte trigrams."""
     body = [b" " + b" ".join(x.lower().encode().translate(_ONLY).split()) + b"  " for x in texts]
@@ -138,7 +141,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        at = [i for i, x in enumerate(texts) if x and _LETTER.search(x)] if self.langs else []
+        at = [i for i, x in enumerate(texts) if x and has_letter(x)] if self.langs else []
         for k in range(0, len(at), 128):
             part = at[k:k + 128]
             margins = rates([texts[i] for i in part]) @ self.planes.T + self.offsets

@@ -7,11 +7,11 @@ from rewardloom.llm.iblt import differences, fingerprint
 
 
 def pieces(x):
-    return set(re.split(r"\n|(?<=[.!?]) ", x) if len(x) < 2000 else x.split("\n"))
+    return set(re.split(r"\n|(?<=[.!?]) ", x))
 
 
 def brute(rows):
-    rows = sorted({(i, t or "") for i, t in rows if i is not None})
+    rows = sorted({(i, t or "") for i, t in rows})
     for (i, x), (_, y) in zip(rows, rows[1:] + rows[:1]):
         q = len(x) // 4
         e = x[:len(x) - q] + y[:q]

@@ -31,3 +31,11 @@ def test_nothing_learned(spark):
 def test_one_language(spark):
     df = spark.createDataFrame([(i, "some text", "xx") for i in range(9)], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in identify(df).collect()} == {("xx", 1.0)}
+
+
+def test_only_letters_count_as_text(spark):
+    """Numerals and marks that aren't of category L are no letters: ½, ², ①, Roman numeral one, a combining accent."""
+    learn = [(i, "the cat is on the table and the door", "en") for i in range(20)] + [(50 + i, "le chat est sur la table et la porte", "fr") for i in range(20)]
+    odd = [(100, "½ ² ①", None), (101, "\u2160 \u0301 _ 7", None), (102, "", None), (103, "é", None), (104, "日本", None), (105, "ª", None)]
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(learn + odd, "doc_id long, text string, lang string")).collect()}
+    assert [got[i] == UNKNOWN for i in range(100, 106)] == [True, True, True, False, False, False]

@@ -119,6 +119,20 @@ def test_vectors_edges(spark):
     assert nearest(df.where("vec_id = 0")).count() == 0
 
 
+def test_one_id_on_several_vectors(spark):
+    """Each row is a neighbour of its own, with its own score, and a query of its own; ties between classes go by id."""
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(60)] + [(5, rng.normal(size=4).tolist()), (5, (9 * rng.normal(size=4)).tolist())]
+    rows += [(i, [0.5, 0.5, 0.5, x]) for i, x in ((300, 0.0), (7, 0.0), (7, -0.0), (301, 2.0), (302, 2.0))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(nearest(df, recall=1.0).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q, best in brute_nearest(rows):
+        assert [i for i, _ in got[q]] == [i for _, i in best]
+        assert all(abs(s + w) < 1e-12 for (_, s), (w, _) in zip(got[q], best))
+
+
 def test_no_id_asks(spark):
     """Usable vectors, but no id divisible by 20."""
     df = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(1, 20)], "vec_id long, embedding array<double>")
