@@ -133,7 +133,7 @@ def with_ctes(body: str, *extra: tuple[str, str]) -> str:
         if name in text:
             need(name)
     parts = [f"{n} AS ({defs[n]}\n)" for n in order if n in needed]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 SPLIT_RE = r"[ \t\n\r\f\x0B]+"
