@@ -50,7 +50,7 @@ def explode_messages(chat: DataFrame) -> DataFrame:
     return out.where(F.col("message_id").isNotNull())
 
 
-def explode_with_parent(chat: DataFrame, keep=None) -> DataFrame:
+def explode_with_parent(chat: DataFrame, keep=None, outer: bool = False) -> DataFrame:
     """``explode_messages`` of the messages whose JSON text ``keep`` accepts
     (all, if None), with parent_raw: the JSON text of the message that
     ``parentId`` names in the same chat, NULL if none does.  Of messages with
@@ -58,7 +58,7 @@ def explode_with_parent(chat: DataFrame, keep=None) -> DataFrame:
 
     Ids are sorted once per chat, and a parent is found by binary search, so
     neither a scan of the chat per message nor a shuffle of messages is
-    needed.  ``ids`` is used twice below so that the optimizer keeps it as a
+    needed.  ``outer`` keeps a chat without such messages as one row of NULLs.  ``ids`` is used twice below so that the optimizer keeps it as a
     column of its own instead of sorting again for every step of a search.
     """
     entries = F.transform(F.map_entries("msgs"), lambda e, i: F.struct(
@@ -83,7 +83,8 @@ def explode_with_parent(chat: DataFrame, keep=None) -> DataFrame:
     asked = F.transform(kept, lambda e: F.struct(e.alias("e"), F.get_json_object(e["raw"], "$.parentId").alias("parent")))
     looked = F.transform(asked, lambda a: F.struct(a["e"].alias("e"), F.when(a["parent"].isNotNull(), found(a["parent"])).alias("parent_raw")))
     # explode_outer and a test of its result: a plain explode would add a filter that parses the chat again
-    out = rows.select("chat_id", "user_id", F.explode_outer(looked).alias("x")).where(F.col("x").isNotNull())
+    out = rows.select("chat_id", "user_id", F.explode_outer(looked).alias("x"))
+    out = out if outer else out.where(F.col("x").isNotNull())
     return out.select("chat_id", "user_id", F.col("x.e.pos").alias("msg_pos"), F.col("x.e.message_id").alias("message_id"),
                       F.col("x.e.raw").alias("raw"), F.col("x.parent_raw").alias("parent_raw"))
 

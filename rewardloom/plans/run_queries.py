@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from rewardloom.config import Settings
 from rewardloom.operators import runs as O
 from rewardloom.plans.inputs import chat_and_users, epoch_of
-from rewardloom.plans.oracle import key as okey
+from rewardloom.plans.oracle import coerce, key as okey
 from rewardloom.plans.registry import query
 from rewardloom.session import path_exists, scratch_path
 from rewardloom.sources.snapshot import read_cards, read_snapshot, write_snapshot
-from rewardloom.streaming import incremental as ST
+from rewardloom.streaming import incremental as ST, reward_state as RS
 
 RUN_ID = "20240108_000000"
 AS_OF_EPOCH = 1704067200 + 7 * 86400
@@ -159,3 +159,27 @@ def stream_reward_cache(spark, sf):
     sink, users = _landed(spark, sf, "stream-cache")
     ST.compact(spark, sink)
     return ST.current_reward_table(spark, sink, users)
+
+
+@query("stream_reward_state", f"""
+, upd AS (SELECT * REPLACE (CASE WHEN chat_id % 4 = 0 THEN (CASE WHEN rating = '3' THEN '1' ELSE rating END)
+                                 WHEN chat_id % 3 = 0 AND rating IN ('1', '2') THEN '5' ELSE rating END AS rating) FROM fx_samples_text)
+, s AS (SELECT chat_id, turn, epoch, {okey('question', 'answer')} AS key, greatest(-1.0, least(1.0, ({coerce('rating')} - 3.0) / 2.0)) AS reward FROM upd)
+SELECT key, reward, n_ratings FROM (
+  SELECT key, reward, count(*) OVER (PARTITION BY key) AS n_ratings,
+    row_number() OVER (PARTITION BY key ORDER BY epoch ASC NULLS LAST, chat_id DESC, turn DESC) AS rn FROM s)
+WHERE rn = 1""", extra_ctes=(("fx_samples_text", """
+SELECT c.chat_id, c.turn, c.epoch, f.rating, c.question, c.answer FROM fx_clean c JOIN fx_feedback f ON f.chat_id = c.chat_id AND f.turn = c.turn"""),))
+def stream_reward_state(spark, sf):
+    """The reward table kept as streaming state over three landings, each by a restarted job: all chats, then a third re-rated,
+    then a quarter re-rated from what they were at first (a chat in both takes back its second rating)."""
+    chat, users = chat_and_users(spark, sf)
+    base = scratch_path(spark, "reward-state")
+
+    def again(rest, was, now):
+        return chat.where(F.col("id") % rest == 0).withColumn("chat", F.regexp_replace("chat", f'"rating":{was},', f'"rating":{now},'))
+
+    for k, rows in enumerate([chat, again(3, "[12]", 5), again(4, "3", 1)]):
+        rows.write.parquet(f"{base}/landing/part={k}")
+        RS.drain(ST.chat_stream(spark, f"{base}/landing/part=*"), f"{base}/state")
+    return RS.reward_table(spark, f"{base}/state", users)
