@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from rewardloom.config import DEFAULT_SETTINGS
 from rewardloom.operators.preference import against_best, dedup_by_key, split_bucket
 from rewardloom.operators.scorer import scorer_tokens
-from rewardloom.session import materialize
+from rewardloom.session import materialize, ship
 
 SHARE, UNIT = 1024, 1 << 20          # fixed point of features and of weights
 FAR = 700.0                          # margins beyond it count as it; exp stays finite
@@ -70,6 +70,7 @@ def with_features(df: DataFrame, q: str = "question", a: str = "answer", out: st
                   n_features: int = DEFAULT_SETTINGS.hashing_features,
                   max_tokens: int = DEFAULT_SETTINGS.scorer_max_tokens, keep: tuple | None = None) -> DataFrame:
     """``keep`` (all columns, if None) and the features as ``out``, an array of shorts."""
+    ship(df.sparkSession)
     keep = list(df.columns if keep is None else keep)
     rows = df.select(*[F.col(f"`{c}`") for c in keep], token_buckets(q, a, n_features, max_tokens).alias("_buckets"))
     shape = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.ArrayType(T.ShortType(), False))])
@@ -96,6 +97,8 @@ def _matrix(column, n_features: int) -> np.ndarray:
 
 def _summed(rows: DataFrame, width: int, each) -> np.ndarray:
     """Sums of the whole-number vectors that ``each(matrix)`` gives for the batches of ``rows``: one row a task and place."""
+    ship(rows.sparkSession)
+
     def run(batches):
         total = np.zeros(width, np.int64)
         for b in batches:
@@ -168,6 +171,7 @@ def select_reg_param(pairs: DataFrame, candidates=(0.0, 0.01, 0.1), steps: int =
 def score_batch(df: DataFrame, model: ExactModel, q: str = "question", a: str = "answer", out: str = "score",
                 max_tokens: int = DEFAULT_SETTINGS.scorer_max_tokens, keep: tuple | None = None) -> DataFrame:
     """P5: w · x of each row's scorer input, exact; ``keep`` (all columns, if None) and ``out``."""
+    ship(df.sparkSession)
     keep = list(df.columns if keep is None else keep)
     f, w = len(model.weights), np.array(model.weights, np.int64)
     rows = df.select(*[F.col(f"`{c}`") for c in keep], token_buckets(q, a, f, max_tokens).alias("_buckets"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from rewardloom.config import DEFAULT_SETTINGS, RUN_ID_FORMAT, Settings
 from rewardloom.operators import clean as C, extract as E, rewards as R
@@ -83,31 +83,79 @@ def run_of(fb: DataFrame, run_id: str | None = None, settings: Settings = DEFAUL
     return Run(rid, samples, gate_counts(fb, rid, settings), fb, settings)
 
 
+def status_of(extracted: int, samples: int, min_samples: int) -> str:
+    """``status_expr`` of counts that the driver has."""
+    return NO_FEEDBACK if not extracted else NOT_ENOUGH if samples < min_samples else READY
+
+
+SKETCH_BITS = 14      # 2^14 registers: a relative standard error of 0.8 %; a few thousand prompts are counted exactly
+
+
+def card_metrics() -> list:
+    """The card's aggregates over cleaned rows with reward, each mergeable: they need no shuffle of texts."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum("rating").alias("rating_sum"), F.min("rating").alias("min_rating"),
+            F.max("rating").alias("max_rating"), F.sum("reward").alias("reward_sum"), F.max(F.unix_seconds("datetime")).alias("max_epoch"),
+            F.hll_sketch_agg("question", SKETCH_BITS).alias("prompts_sketch")]
+
+
+CARD = ("rows long, rating_sum double, min_rating double, max_rating double, reward_sum double, max_epoch long, prompts_sketch binary")
+
+
 def execute_run(run: Run, sink_path: str | None = None, dry_run: bool = False) -> dict:
     """O2/O3: act on the gate.
 
     Dry run: only the one-row gate aggregate is computed; nothing is written.
     Real run: the extracted feedback rows are written ONCE to a staging folder
-    in the shared directory (the only pass over the chat documents); the gate
-    is computed from that staged table, and only a ready run is cleaned,
-    labelled and published from it as partition ``run_id`` of ``sink_path``,
-    with its card (S4) next to it.  The staging folder is removed at the end."""
+    in the shared directory (the only pass over the chat documents), and the gate's counts are taken
+    by that write itself; a ready run is cleaned, labelled and published from the staged rows as partition
+    ``run_id`` of ``sink_path``, and that write takes the figures of its card (S4), which is written
+    next to it.  So the staged table is read once.  A write's figures come from its tasks' final results, each
+    partition's once, whatever was retried.  The staging folder is removed at the end."""
     if dry_run or not sink_path:
         return run.status.first().asDict()
     from rewardloom.session import materialize, release
     from rewardloom.sources.snapshot import write_card, write_snapshot
 
-    staged = materialize(run.feedback, f"run-{run.run_id}")
-    st = gate_counts(staged, run.run_id, run.settings).first().asDict()
+    gate, ok = Observation(), C.keep_after_cleaning()
+    staged = materialize(run.feedback.observe(gate, F.count(F.lit(1)).alias("extracted"), F.count_if(ok).alias("cleaned")), f"run-{run.run_id}")
+    counts = gate.get
+    st = {"run_id": run.run_id, "extracted": counts["extracted"], "cleaned": counts["cleaned"], "samples": counts["cleaned"],
+          "status": status_of(counts["extracted"], counts["cleaned"], run.settings.min_feedback_samples)}
     if st["status"] == READY:
-        clean = C.clean_feedback(staged)
+        figures, spark = Observation(), staged.sparkSession
+        clean = C.clean_feedback(staged).withColumn("reward", R.reward_expr("rating", run.settings)).observe(figures, *card_metrics())
         write_snapshot(R.reward_samples(clean, run.settings).drop("seq"), sink_path, run.run_id)
-        write_card(dataset_card(clean.withColumn("reward", R.reward_expr("rating", run.settings)), run.run_id), sink_path, run.run_id)
+        row = spark.createDataFrame([tuple(figures.get[c.split()[0]] for c in CARD.split(", "))], CARD)
+        write_card(finished_card(row).withColumn("run_id", F.lit(run.run_id)), sink_path, run.run_id)
         st["written"] = sink_path
     release(staged.sparkSession, staged)
     return st
 
 
+def finished_card(figures: DataFrame) -> DataFrame:
+    """``card_metrics`` with the card's own columns: distinct_prompts (an estimate beyond a few thousand), mean_rating, mean_reward."""
+    return figures.withColumns({"distinct_prompts": F.hll_sketch_estimate("prompts_sketch"), "mean_rating": F.col("rating_sum") / F.col("rows"),
+                                "mean_reward": F.col("reward_sum") / F.col("rows")})
+
+
+def card_rollup(cards: DataFrame) -> DataFrame:
+    """S4 over many runs: one row for all of ``cards`` (one row a run), without reading a sample again.  Sums add, sketches unite:
+    prompts that several runs have count once."""
+    whole = cards.agg(F.count(F.lit(1)).alias("runs"), F.sum("rows").alias("rows"), F.sum("rating_sum").alias("rating_sum"), F.min("min_rating").alias("min_rating"),
+                      F.max("max_rating").alias("max_rating"), F.sum("reward_sum").alias("reward_sum"), F.max("max_epoch").alias("max_epoch"),
+                      F.hll_union_agg("prompts_sketch").alias("prompts_sketch"))
+    return finished_card(whole)
+
+
+def run_due(cards: DataFrame, as_of, settings: Settings = DEFAULT_SETTINGS) -> bool:
+    """The scheduler's question: is the newest published run at least ``run_interval_days`` old (or is there none)?  ``as_of`` is an
+    aware datetime or epoch seconds; run ids that aren't times don't count."""
+    at = F.try_to_timestamp(F.col("run_id").cast("string"), F.lit("yyyyMMdd_HHmmss"))
+    newest = cards.agg(F.max(F.unix_seconds(at))).first()[0]
+    now = int(as_of.timestamp()) if isinstance(as_of, _dt.datetime) else int(as_of)
+    return newest is None or now - newest >= settings.run_interval_days * 86400
+
+
 def dataset_card(samples: DataFrame, run_id: str) -> DataFrame:
     """One-row summary of a published sample set."""
     has_dt = "datetime" in samples.columns

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rewardloom.operators import clean as C, extract as E, rewards as R
+from rewardloom.operators import clean as C, extract as E, reward_layout as RL, rewards as R
 from rewardloom.plans.inputs import chat_and_users, epoch_of, rated, responses
 from rewardloom.plans.oracle import key as okey, ustrip
 from rewardloom.plans.registry import query
@@ -157,3 +157,18 @@ SELECT epoch_no, batch_idx, avg(CAST(reward AS DOUBLE)) AS mean_reward, count(*)
 FROM fx_scored GROUP BY epoch_no, batch_idx""")
 def batch_mean_reward(spark, sf):
     return R.batch_mean_reward(_scored(spark, sf))
+
+
+@query("epoch_rewards", f"""
+SELECT 0::INTEGER AS pass, doc_id, reward, hit FROM fx_scored
+UNION ALL
+SELECT 1::INTEGER, r.doc_id, CAST(coalesce(c.reward, 0.0) AS FLOAT), c.key IS NOT NULL
+FROM (SELECT doc_id, {okey('question', 'response')} AS key FROM fx_responses) r
+LEFT JOIN (SELECT * FROM fx_cache WHERE n_ratings > 1) c ON c.key = r.key""")
+def epoch_rewards(spark, sf):
+    """R7 over two passes with two reward tables (all ratings, then keys rated more than once), the responses laid out once."""
+    laid = RL.write_responses(responses(spark, sf), buckets=16)
+    cache = R.build_reward_cache(R.reward_samples(rated(spark, sf, dup=True)))
+    passes = [RL.score_epoch(spark, laid, RL.write_rewards(c, laid)).select(F.lit(i).alias("pass"), "doc_id", "reward", "hit")
+              for i, c in enumerate((cache, cache.where("n_ratings > 1")))]
+    return passes[0].unionByName(passes[1])

@@ -8,6 +8,7 @@ from rewardloom import schema as S
 from rewardloom.operators import extract as E
 from rewardloom.plans.inputs import chat_and_users, epoch_of
 from rewardloom.plans.registry import query
+from rewardloom.sources.tables import even_splits, split_predicates
 
 AS_OF_EPOCH = 1704067200 + 7 * 86400   # 2024-01-08 00:00:00 UTC
 DAYS_BACK = 3
@@ -31,6 +32,22 @@ def src_chat(spark, sf):
     return chat.select("id", "user_id", F.size(msgs).cast("bigint").alias("n_messages"))
 
 
+@query("src_even_slices", """
+SELECT count(*) AS n_rows, CAST(count_if(chat_id % 50 = 0) AS BIGINT) AS n_null, true AS none_twice_the_mean
+FROM (SELECT DISTINCT chat_id FROM fx_messages)""")
+def src_even_slices(spark, sf):
+    """The slices that a JDBC read of text ids would be split into, by counting each: all rows, the NULL slice, and whether
+    no other holds more than twice the mean."""
+    chat, _ = chat_and_users(spark, sf)
+    ids = chat.select(F.when(F.col("id") % 50 != 0, F.concat(F.lit("chat-"), F.col("id").cast("string"))).alias("id"))
+    slices = split_predicates(even_splits(ids, 8))
+    counts = ids.agg(*[F.count_if(F.expr(p)).alias(f"s{i}") for i, p in enumerate(slices)])
+    sizes = [F.col(f"s{i}") for i in range(len(slices))]
+    filled = sum(sizes[:-1], F.lit(0))
+    return counts.select((filled + sizes[-1]).alias("n_rows"), sizes[-1].alias("n_null"),
+                         (F.greatest(*sizes[:-1], F.lit(0)) * (len(slices) - 1) <= 2 * filled).alias("none_twice_the_mean"))
+
+
 @query("explode_messages", """
 SELECT chat_id, user_id, msg_pos, message_id FROM fx_msg""")
 def explode_messages(spark, sf):

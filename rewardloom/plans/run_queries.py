@@ -103,6 +103,21 @@ def published_card(spark, sf):
                                                   "mean_reward", "max_epoch")
 
 
+@query("card_rollup", """
+SELECT 3::BIGINT AS runs, count(*) AS "rows", count(DISTINCT question) AS distinct_prompts, round(avg(rating), 9) AS mean_rating, min(rating) AS min_rating,
+       max(rating) AS max_rating, round(avg(reward), 9) AS mean_reward, max(epoch) AS max_epoch
+FROM fx_samples""")
+def card_rollup(spark, sf):
+    """S4 over three published runs, each of a third of the chats, from their cards alone."""
+    path = scratch_path(spark, "rolled")
+    chat, users = chat_and_users(spark, sf)
+    for k in range(3):
+        part = chat.where(F.pmod("id", F.lit(3)) == k)
+        O.execute_run(O.feedback_run(part, users, run_id=f"third-{k}", settings=Settings(min_feedback_samples=1)), sink_path=path)
+    return O.card_rollup(read_cards(spark, path)).select("runs", "rows", "distinct_prompts", F.round("mean_rating", 9).alias("mean_rating"), "min_rating", "max_rating",
+                                                         F.round("mean_reward", 9).alias("mean_reward"), "max_epoch")
+
+
 def _landed(spark, sf, name, *changes):
     """The staged chats landed and drained, then each change landed and drained; (sink, users)."""
     chat, users = chat_and_users(spark, sf)

@@ -8,8 +8,10 @@ by ``spark.checkpoint.dir`` (a tests-only default is set when it is missing).
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -95,6 +97,21 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+_SHIPPED: list = []
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the workers, once a session, unless they find it by path (PYTHONPATH or a working folder).
+    Whatever runs the package's own functions inside tasks calls it first."""
+    root = Path(__file__).resolve().parents[1]
+    found = [Path(p or ".").resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
+    if root in found or (os.environ.get("PYTHONPATH") and (Path.cwd() / "rewardloom").exists()) or spark in _SHIPPED:
+        return
+    at = tempfile.mkdtemp(prefix="rewardloom-ship-")      # on the driver; Spark copies the file to every executor
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{at}/rewardloom", "zip", root, "rewardloom"))
+    _SHIPPED.append(spark)
+
+
 def _fs(spark: SparkSession, path: str):
     """(file system, Hadoop path) of ``path``: the store that Spark itself reads and writes."""
     jvm = spark.sparkContext._jvm

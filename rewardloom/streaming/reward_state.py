@@ -33,7 +33,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from rewardloom.functions.order import seq_col
 from rewardloom.functions.text import coerce_numeric, reward_key
 from rewardloom.operators import clean as C, extract as E, rewards as R
-from rewardloom.session import path_exists
+from rewardloom.session import path_exists, ship
 
 SLICES = 64
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -152,6 +152,7 @@ def drain(chats: DataFrame, base: str) -> None:
     """Takes in what has landed since the last run on ``base`` (state, checkpoints and tables lie there) and stops."""
     spark, base = chats.sparkSession, base.rstrip("/")
     id_type = chats.schema["id"].dataType
+    ship(spark)
     with _state_in_rocksdb(spark):
         first = (_differences(chats, id_type).writeStream.format("parquet").outputMode("append").option("path", f"{base}/differences")
                  .option("checkpointLocation", f"{base}/by-chat").trigger(availableNow=True).start())
