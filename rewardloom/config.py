@@ -47,8 +47,6 @@ class Settings:
     preview_chars: int = 80
     raw_preview_chars: int = 300
     batch_log_every: int = 10
-    # batching shards: about one per 100,000 prompts, fixed by the caller for its corpus
-    batch_shards: int = 8
     hashing_features: int = 256
     extra: dict = field(default_factory=dict, compare=False)
 

@@ -74,22 +74,17 @@ def tokenize_prompts(prompts: DataFrame, vocab: DataFrame,
 
 
 # -- D6 ----------------------------------------------------------------------
-def left_pad_batches(encoded: DataFrame, batch_size: int = DEFAULT_SETTINGS.batch_size,
-                     shards: int = DEFAULT_SETTINGS.batch_shards, pad_id: int = PAD_ID) -> DataFrame:
-    """Group prompts into batches of ``batch_size`` and left-pad each to its
-    batch's longest prompt (mask 0 on pads).
-
-    Batches are formed inside ``shards`` hash shards of the prompt key.  The
-    caller fixes the number for its corpus (about one per 100,000 prompts): a
-    prompt's shard then never depends on how many others there are."""
-    shard = F.pmod(F.conv(F.substring("prompt_key", 1, 8), 16, 10).cast("bigint"), F.lit(int(shards)))
-    df = encoded.withColumn("shard", shard.cast("bigint"))
-    w = Window.partitionBy("shard").orderBy("prompt_key")
-    df = df.withColumn("batch_no", F.floor((F.row_number().over(w) - 1) / F.lit(batch_size)))
-    wb = Window.partitionBy("shard", "batch_no")
+def left_pad_batches(encoded: DataFrame, batch_size: int = DEFAULT_SETTINGS.batch_size, pad_id: int = PAD_ID) -> DataFrame:
+    """Group prompts, by ascending key, into batches of ``batch_size`` (the last may be smaller) and
+    left-pad each to its batch's longest prompt (mask 0 on pads).
+
+    Prompts are numbered by the distributed index (a range shuffle, no window over many rows); the window that finds the
+    longest holds one batch."""
+    df = sequential_index(encoded, ["prompt_key"], "_no").withColumn("batch_no", F.floor(F.col("_no") / F.lit(batch_size)))
+    wb = Window.partitionBy("batch_no")
     df = df.withColumn("_k", F.max(F.size("input_ids")).over(wb) - F.size("input_ids"))
     return df.select(
-        "shard", "batch_no", "prompt_key",
+        "batch_no", "prompt_key",
         F.concat(F.array_repeat(F.lit(pad_id), F.col("_k")), "input_ids").alias("input_ids"),
         F.concat(F.array_repeat(F.lit(0), F.col("_k")), "attention_mask").alias("attention_mask"))
 
@@ -154,3 +149,33 @@ def tokenize_with(df: DataFrame, text_col: str, encoder_factory, key: str = "pro
     ids = F.slice(_encode(F.col(text_col)), 1, max_tokens)
     out = df.select(key, ids.alias("input_ids")).where(F.size("input_ids") > 0)
     return out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+
+
+def subword_encoder(path: str):
+    """For ``tokenize_with``: a subword tokenizer from its JSON file, which every worker must reach by that path."""
+    def factory():
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(path)
+        return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return factory
+
+
+def subword_decoder(path: str):
+    """For ``decode_with``: ids back to text, special tokens skipped."""
+    def factory():
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(path)
+        return lambda ids: tokenizer.decode_batch(ids, skip_special_tokens=True)
+    return factory
+
+
+def decode_with(df: DataFrame, ids_col: str, decoder_factory, out: str = "text") -> DataFrame:
+    """D8 with a pretrained tokenizer: ``decoder_factory()`` is called once per task and returns
+    ``fn(list[list[int]]) -> list[str]``.  A NULL array decodes to an empty text."""
+    @pandas_udf("string")
+    def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = decoder_factory()
+        for ids in batches:
+            yield pd.Series(fn([[] if x is None else [int(i) for i in x] for x in ids]), dtype="object")
+
+    return df.withColumn(out, _decode(F.col(ids_col)))

@@ -31,8 +31,6 @@ def _encoded(spark, sf):
     return D.tokenize_prompts(up, vocab)
 
 
-SHARDS = 8      # fixed for this corpus
-
 _UP = "up AS (SELECT DISTINCT prompt FROM fx_prompts WHERE prompt IS NOT NULL)"
 _PV = f"pv AS ({vocab_sql('SELECT prompt AS txt FROM up')})"
 _ENC = f"""enc AS (
@@ -69,28 +67,25 @@ def tokenize_prompts(spark, sf):
 
 _BATCH = f"""
 , {_with(_UP, _PV, _ENC)},
-sh AS (SELECT e.*, ('0x' || substr(prompt_key, 1, 8))::UBIGINT
-                    % {SHARDS}::UBIGINT AS shard
-       FROM enc e),
-b AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY prompt_key) - 1) // 4 AS batch_no FROM sh),
-p AS (SELECT *, max(n_tok) OVER (PARTITION BY shard, batch_no) - n_tok AS k FROM b)"""
+b AS (SELECT *, (row_number() OVER (ORDER BY prompt_key) - 1) // 4 AS batch_no FROM enc),
+p AS (SELECT *, max(n_tok) OVER (PARTITION BY batch_no) - n_tok AS k FROM b)"""
 
 
 @query("left_pad_batches", _BATCH + """
-SELECT CAST(shard AS BIGINT) AS shard, CAST(batch_no AS BIGINT) AS batch_no, prompt_key,
+SELECT CAST(batch_no AS BIGINT) AS batch_no, prompt_key,
        repeat('0,', CAST(k AS BIGINT)) || input_ids AS input_ids,
        repeat('0,', CAST(k AS BIGINT)) || rtrim(repeat('1,', n_tok), ',') AS attention_mask
 FROM p""")
 def left_pad_batches(spark, sf):
-    b = D.left_pad_batches(_encoded(spark, sf), shards=SHARDS)
-    return b.select("shard", "batch_no", "prompt_key", ids_text("input_ids"), ids_text("attention_mask"))
+    b = D.left_pad_batches(_encoded(spark, sf))
+    return b.select("batch_no", "prompt_key", ids_text("input_ids"), ids_text("attention_mask"))
 
 
 @query("unpad_batches", f"""
 , {_with(_UP, _PV, _ENC)}
 SELECT prompt_key, input_ids FROM enc""")
 def unpad_batches(spark, sf):
-    b = D.unpad(D.left_pad_batches(_encoded(spark, sf), shards=SHARDS))
+    b = D.unpad(D.left_pad_batches(_encoded(spark, sf)))
     return b.select("prompt_key", ids_text("input_ids"))
 
 
@@ -130,3 +125,22 @@ def decode_responses(spark, sf):
     vocab = materialize(D.build_vocab(texts, "txt"), "vocab")
     generated = materialize(D.generated_ids(_generated(spark, sf), vocab, "row"), "generated")
     return D.decode_responses(generated, vocab, "row").select("row.doc_id", "row.epoch", "response_text")
+
+
+@query("subword_responses", """
+SELECT doc_id, response AS response_text FROM fx_responses""")
+def subword_responses(spark, sf):
+    """D3 and D8 with a pretrained subword tokenizer: prompt ids (128 at most) and response ids in one sequence, what follows
+    the prompt decoded.  Its bytes come back as they were, so the twin is the response itself."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    r = responses(spark, sf).select("doc_id", "question", "response")
+    prompt = D.tokenize_with(r, "question", D.subword_encoder(path), key="doc_id").select("doc_id", F.col("input_ids").alias("prompt_ids"))
+    every = 1 << 30                                     # responses aren't cut
+    answer = D.tokenize_with(r, "response", D.subword_encoder(path), key="doc_id", max_tokens=every).select("doc_id", F.col("input_ids").alias("answer_ids"))
+    both = r.select("doc_id").join(prompt, "doc_id", "left").join(answer, "doc_id", "left")
+    none = F.array().cast("array<int>")
+    rows = both.select("doc_id", F.coalesce("prompt_ids", none).alias("p"), F.coalesce("answer_ids", none).alias("a"))
+    rows = rows.select("doc_id", F.concat("p", "a").alias("sequence_ids"), F.size("p").alias("prompt_len"))
+    after = F.slice("sequence_ids", F.col("prompt_len") + 1, F.greatest(F.size("sequence_ids") - F.col("prompt_len"), F.lit(0)))
+    return D.decode_with(rows.select("doc_id", after.alias("ids")), "ids", D.subword_decoder(path), "response_text").select("doc_id", "response_text")

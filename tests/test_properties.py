@@ -31,9 +31,9 @@ def test_unpad_inverts_left_pad(spark, id_lists):
         assert r.input_ids[:k] == [0] * k and all(m == 1 for m in r.attention_mask[k:])
     sizes = {}
     for r in padded.collect():
-        sizes.setdefault((r.shard, r.batch_no), set()).add(len(r.input_ids))
+        sizes.setdefault(r.batch_no, set()).add(len(r.input_ids))
     assert all(len(s) == 1 for s in sizes.values())  # one length per batch
-    assert all(sum(1 for r in padded.collect() if (r.shard, r.batch_no) == b) <= 4 for b in sizes)
+    assert all(sum(1 for r in padded.collect() if r.batch_no == b) <= 4 for b in sizes)
 
 
 def test_clean_is_idempotent(spark):
