@@ -39,3 +39,20 @@ def test_only_letters_count_as_text(spark):
     odd = [(100, "½ ² ①", None), (101, "\u2160 \u0301 _ 7", None), (102, "", None), (103, "é", None), (104, "日本", None), (105, "ª", None)]
     got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame(learn + odd, "doc_id long, text string, lang string")).collect()}
     assert [got[i] == UNKNOWN for i in range(100, 106)] == [True, True, True, False, False, False]
+
+
+def test_one_id_on_many_rows(spark, docs):
+    """An id that 30,000 rows share, of one text and of many, adds no more to the sample than its bound; the learning rows stay bounded."""
+    from pyspark.sql import functions as F
+    from rewardloom.llm.langid import learn
+    kind = ["doc_id", "text", "lang"]
+    hot, odd = [i for i in range(5000, 5100) if zlib.crc32(str(i).encode()) % 3 != 1][:2]       # not held out
+    same = spark.range(20_000).select(F.lit(hot).cast("long").alias("doc_id"), F.lit("the cat is on the table").alias("text"), F.lit("en").alias("lang"))
+    many = spark.range(10_000).select(F.lit(hot).cast("long").alias("doc_id"), F.concat(F.lit("a dog number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    fr = spark.createDataFrame([(i, f"le chat {i} est sur la table et la porte", "fr") for i in range(900)], kind)
+    both = spark.createDataFrame([(odd, "der Hund und die Katze", x) for x in ("de", "de", "nl")], kind)
+    df = same.unionByName(many).unionByName(fr).unionByName(both)
+    model = learn(df, sample=400)
+    assert sorted(model.langs) == ["de", "en", "fr", "nl"]
+    got = {r.doc_id: r.lang_pred for r in identify(df.where("lang = 'fr'")).collect()}
+    assert set(got.values()) == {"fr"}
