@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rewardloom.session import materialize, scratch_path
+from rewardloom.session import materialize, scratch_path, ship
 
 WORD = r"[^\x20\x09-\x0D]+"      # a word: a run without the six ASCII white space characters
 
@@ -53,20 +48,6 @@ def bounded_sample(labelled: DataFrame, most: int, key: str = "doc_id") -> DataF
     return labelled.orderBy(F.xxhash64(key), key, *[c for c in labelled.columns if c != key]).limit(most)
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends the package to the workers, once a session, unless they find it by path (PYTHONPATH or a working folder)."""
-    root = Path(__file__).resolve().parents[2]
-    found = [Path(p or ".").resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
-    if root in found or (os.environ.get("PYTHONPATH") and (Path.cwd() / "rewardloom").exists()) or spark in _SHIPPED:
-        return
-    at = tempfile.mkdtemp(prefix="rewardloom-ship-")      # on the driver; Spark copies the file to every executor
-    spark.sparkContext.addPyFile(shutil.make_archive(f"{at}/rewardloom", "zip", root, "rewardloom"))
-    _SHIPPED.append(spark)
-
-
-_SHIPPED: list = []
-
-
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 32, how: str = "inner") -> DataFrame:
     """``big`` with the one row of ``small`` (unique on ``key``) for its key.  A key that holds a third of ``big``
     meets in ``salts`` tasks: ``small`` is repeated once a salt, the rows of ``big`` are dealt over the salts."""
