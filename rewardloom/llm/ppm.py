@@ -76,9 +76,14 @@ def _codes(texts: list[bytes], order: int):
         i = j
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted, each value once.  (Without counts, np.unique goes by a hash table, several times slower here.)"""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 def _grams(texts: list[bytes], order: int) -> np.ndarray:
-    parts = [np.unique(code) for code, *_ in _codes(texts, order)]
-    return np.unique(np.concatenate(parts))
+    return _distinct(np.concatenate([_distinct(code) for code, *_ in _codes(texts, order)]))
 
 
 def _gram_shards(grams: np.ndarray, shards: int) -> np.ndarray:
