@@ -13,8 +13,8 @@ more bits keeps its low bits in place, and its whole value stands in the excepti
 words are found by its start, so any id can be read without unpacking what is before it.
 
 The table of segments is Parquet written and read by Spark, so it lives wherever the cluster's shared
-folder does and a lost task leaves no half-written file: columns part, segment, ids, doc_ids, lengths,
-payload.  Documents go by ascending id (nulls first, then by a hash of the text): one range shuffle,
+folder does and a lost task leaves no half-written file: columns part, segment, before (ids in the part's earlier
+segments), ids, doc_ids, lengths, payload.  Documents go by ascending id (nulls first, then by a hash of the text): one range shuffle,
 whose partitions are written as they are sorted.
 
 Defined cases: null text is the empty text (the end id alone); repeated rows are written each; an
@@ -35,7 +35,7 @@ from rewardloom.llm.tokens import encoded
 from rewardloom.session import scratch_path
 
 BLOCK, MAGIC = 128, b"PFR1"
-SEGMENTS = "part long, segment long, ids long, doc_ids array<long>, lengths array<long>, payload binary"
+SEGMENTS = "part long, segment long, before long, ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
 def _widths(x: np.ndarray) -> np.ndarray:
@@ -121,16 +121,16 @@ def decode(data: bytes) -> np.ndarray:
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, spaces: str, end: int = 2, segment_ids: int = 1 << 17) -> None:
     """Writes the table of segments to ``path``."""
-    schema = pa.schema([("part", pa.int64()), ("segment", pa.int64()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    schema = pa.schema([("part", pa.int64()), ("segment", pa.int64()), ("before", pa.int64()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
                         ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
 
     def run(batches):
-        part, number, docs_in, parts = TaskContext.get().partitionId(), 0, [], []
+        part, number, before, docs_in, parts = TaskContext.get().partitionId(), 0, 0, [], []
 
         def flush():
             lengths = [len(x) // 4 for x in parts]
             payload = encode(np.frombuffer(b"".join(parts), "<u4"))
-            row = [[part], [number], [sum(lengths)], [list(docs_in)], [lengths], [payload]]
+            row = [[part], [number], [before], [sum(lengths)], [list(docs_in)], [lengths], [payload]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema)], schema=schema)
 
         held = 0
@@ -140,7 +140,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, spaces: str, end: int
             held += len(ids) // 4
             if held >= segment_ids:
                 yield flush()
-                number, held, docs_in, parts = number + 1, 0, [], []
+                number, before, held, docs_in, parts = number + 1, before + held, 0, [], []
         if parts:
             yield flush()
 
@@ -154,14 +154,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a table of segments: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32, from the decoded segments."""
     segments = spark.read.parquet(path)
-    # one row per partition that wrote (a task), then one per segment of 2**17 ids: small tables
+    # one row per partition that wrote (a task): a small table, so payloads stay where they are
     sizes = segments.groupBy("part").agg(F.sum("ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (segments.select("part", "segment", F.coalesce(F.sum("ids").over(inside), F.lit(0)).alias("inner"))
-                      .join(F.broadcast(sizes), "part")            # at most one row per task that wrote
-                      .select("part", "segment", (F.col("part_start") + F.col("inner")).alias("start")))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("part_start"))
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
     def run(batches):
@@ -175,7 +171,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(x["doc_ids"], pa.int64()), pa.array(begins + x["start"], pa.int64()),
                      pa.array(x["lengths"], pa.int64()), pa.array(crc, pa.int64())], schema=schema)
 
-    return segments.join(starts, ["part", "segment"]).select("start", "doc_ids", "lengths", "payload").mapInArrow(
+    placed = segments.join(F.broadcast(sizes), "part").select((F.col("part_start") + F.col("before")).alias("start"), "doc_ids", "lengths", "payload")
+    return placed.mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
