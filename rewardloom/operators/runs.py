@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rewardloom.config import DEFAULT_SETTINGS, RUN_ID_FORMAT, Settings
 from rewardloom.operators import clean as C, extract as E, rewards as R
@@ -98,35 +98,31 @@ def card_metrics() -> list:
             F.hll_sketch_agg("question", SKETCH_BITS).alias("prompts_sketch")]
 
 
-CARD = ("rows long, rating_sum double, min_rating double, max_rating double, reward_sum double, max_epoch long, prompts_sketch binary")
-
-
 def execute_run(run: Run, sink_path: str | None = None, dry_run: bool = False) -> dict:
     """O2/O3: act on the gate.
 
     Dry run: only the one-row gate aggregate is computed; nothing is written.
     Real run: the extracted feedback rows are written ONCE to a staging folder
-    in the shared directory (the only pass over the chat documents), and the gate's counts are taken
-    by that write itself; a ready run is cleaned, labelled and published from the staged rows as partition
-    ``run_id`` of ``sink_path``, and that write takes the figures of its card (S4), which is written
-    next to it.  So the staged table is read once.  A write's figures come from its tasks' final results, each
-    partition's once, whatever was retried.  The staging folder is removed at the end."""
+    in the shared directory (the only pass over the chat documents), each with the cleaning predicate's
+    answer.  The gate reads that one boolean column and no text.  A ready run is cleaned, labelled and published
+    from the staged rows as partition ``run_id`` of ``sink_path``; its card (S4), whose figures all merge
+    without a shuffle of texts, is written next to it.  The staging folder is removed at the end.
+
+    (``Observation`` on the write would save the boolean scan, but in this Spark a session that has observed once
+    can't serialize a fitted logistic regression any more, so nothing here observes.)"""
     if dry_run or not sink_path:
         return run.status.first().asDict()
     from rewardloom.session import materialize, release
     from rewardloom.sources.snapshot import write_card, write_snapshot
 
-    gate, ok = Observation(), C.keep_after_cleaning()
-    staged = materialize(run.feedback.observe(gate, F.count(F.lit(1)).alias("extracted"), F.count_if(ok).alias("cleaned")), f"run-{run.run_id}")
-    counts = gate.get
-    st = {"run_id": run.run_id, "extracted": counts["extracted"], "cleaned": counts["cleaned"], "samples": counts["cleaned"],
-          "status": status_of(counts["extracted"], counts["cleaned"], run.settings.min_feedback_samples)}
+    staged = materialize(run.feedback.withColumn("_clean", C.keep_after_cleaning()), f"run-{run.run_id}")
+    extracted, cleaned = staged.agg(F.count(F.lit(1)), F.count_if("_clean")).first()
+    st = {"run_id": run.run_id, "extracted": extracted, "cleaned": cleaned, "samples": cleaned,
+          "status": status_of(extracted, cleaned, run.settings.min_feedback_samples)}
     if st["status"] == READY:
-        figures, spark = Observation(), staged.sparkSession
-        clean = C.clean_feedback(staged).withColumn("reward", R.reward_expr("rating", run.settings)).observe(figures, *card_metrics())
+        clean = C.clean_feedback(staged.where("_clean").drop("_clean")).withColumn("reward", R.reward_expr("rating", run.settings))
         write_snapshot(R.reward_samples(clean, run.settings).drop("seq"), sink_path, run.run_id)
-        row = spark.createDataFrame([tuple(figures.get[c.split()[0]] for c in CARD.split(", "))], CARD)
-        write_card(finished_card(row).withColumn("run_id", F.lit(run.run_id)), sink_path, run.run_id)
+        write_card(finished_card(clean.agg(*card_metrics())).withColumn("run_id", F.lit(run.run_id)), sink_path, run.run_id)
         st["written"] = sink_path
     release(staged.sparkSession, staged)
     return st

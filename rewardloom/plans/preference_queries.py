@@ -177,7 +177,8 @@ def score_unrated(spark, sf):
     sum(floor(1048576::DOUBLE * (greatest(-t, 0::DOUBLE) + ln(1::DOUBLE + exp(-abs(t)))) + 0.5::DOUBLE)::BIGINT)::DOUBLE / 1048576::DOUBLE / count(*) AS loss,
     count(*) AS n_pairs
   FROM tested GROUP BY reg)
-SELECT reg_param, accuracy, loss, n_pairs, row_number() OVER (ORDER BY loss, reg_param) = 1 AS selected FROM rated_by""")
+SELECT c.reg AS reg_param, accuracy, loss, coalesce(n_pairs, 0) AS n_pairs, row_number() OVER (ORDER BY loss NULLS LAST, c.reg) = 1 AS selected
+FROM (SELECT DISTINCT reg FROM fitted) c LEFT JOIN rated_by ON reg_param = c.reg""")
 def pair_model_selection(spark, sf):
     """Held-out accuracy / pair loss per regularisation candidate (train side fitted, test side scored, all candidates in the
     same scans); the argmin is the kept model."""

@@ -1,4 +1,4 @@
-"""Bucketed reward lookup, even id slices, figures taken by writes, cards over many runs."""
+"""Bucketed reward lookup, even id slices, gates, cards over many runs."""
 
 import datetime as dt
 import random
@@ -81,7 +81,7 @@ def test_jdbc_finds_its_slices(spark, monkeypatch):
     assert len(asked[1][1]) == 5 and all(p.startswith('id COLLATE "C" ') for p in asked[1][1])
 
 
-def test_gates_come_from_the_write(spark):
+def test_gates_of_a_real_run(spark):
     chat, users = chat_and_users(spark, SF01)
     for min_samples, part in ((1, chat), (10**6, chat), (1, chat.limit(0))):
         run = O.feedback_run(part, users, run_id="g", settings=Settings(min_feedback_samples=min_samples))
