@@ -50,12 +50,20 @@ def test_mix_repeats_whole_rows(results):
 
 
 def test_run_equals_stages(spark, results):
-    key = lambda df: sorted(tuple(r) for r in df.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect())
-    assert sum(r[2] for r in key(C.run(spark, SF))) == sum(r[2] for r in key(results[4][1]))
+    """The same documents as often and as long; where a piece is cut depends on how rows lie in partitions."""
+    def packed(df):
+        total = {}
+        for r in df.select("doc_id", "length", "doc_tokens").collect():
+            key = r.doc_id, r.doc_tokens
+            total[key] = total.get(key, 0) + r.length
+        return total
+
+    got = packed(C.run(spark, SF))
+    assert got == packed(results[4][1]) and all(n in (size, 2 * size) for (_, size), n in got.items())
 
 
 def test_registered():
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in entry.queries()
