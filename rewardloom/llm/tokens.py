@@ -9,6 +9,9 @@ across the boundaries used below, so the ids of a text are the ids of its chunks
 * ``dropped``: a tokenizer that drops white space and lower-cases.  It is cut at every space and
   line feed.
 
+A special string of the tokenizer (such as an end mark) in a text is found before anything else, as written, and becomes
+its one id, as in the library's plain ``encode``; the text before it and behind it are chunked each on its own.
+
 A natural text repeats its words, so most chunks are a dictionary lookup.  A new chunk made of
 letters and trailing punctuation is one pre-token each, which goes to the tokenizer's model
 directly; every other new chunk goes through the whole tokenizer.  The dictionaries live as long
@@ -44,15 +47,32 @@ class Encoder:
         if spaces not in ("kept", "dropped"):
             raise ValueError("spaces: kept or dropped")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True         # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("special strings must be found as written")
+        self.marks = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        longest_first = sorted(self.marks, key=len, reverse=True)
+        self.cut_marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split
         self.model = self.tokenizer.model
         self.kept = spaces == "kept"
         self.names = _byte_names()
-        self.seen: dict[str, bytes] = {}                    # of chunks
+        self.seen: dict[str, bytes] = dict(self.marks)      # of chunks; no other chunk holds a special string
         self.parts: dict[str, bytes] = {}                   # of pre-tokens
 
     def _chunks(self, text: str) -> list[str]:
-        """Keys of the text's chunks.  ``kept``: a chunk that lost the space before it is its own key; the first
+        """Keys of the text's chunks and special strings."""
+        if not any(mark in text for mark in self.marks):
+            return self._ordinary(text)
+        keys: list[str] = []
+        for i, part in enumerate(self.cut_marks(text)):
+            if i % 2:
+                keys.append(part)
+            elif part:
+                keys += self._ordinary(part)
+        return keys
+
+    def _ordinary(self, text: str) -> list[str]:
+        """Keys of the chunks of a text without special strings.  ``kept``: a chunk that lost the space before it is its own key; the first
         chunk, and every chunk of a text with repeated white space (or a zero character), is written in full
         behind a zero character."""
         if not self.kept:
@@ -104,6 +124,7 @@ class Encoder:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.seen) > MOST:
             self.seen.clear()
+            self.seen.update(self.marks)
         if len(self.parts) > MOST:
             self.parts.clear()
         cut, seen = [self._chunks(x) for x in texts], self.seen

@@ -16,7 +16,6 @@ WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path
 
 def whole(path, texts):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [np.array(e.ids + [2], "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -31,15 +30,16 @@ def test_chunks_give_the_library_s_ids(path, spaces):
 
 
 @pytest.mark.parametrize("path,spaces", [(BYTE, "kept"), (WORD, "dropped")])
-def test_unmodified_tokenizer_differs_at_special_strings_only(path, spaces):
+def test_special_strings_get_their_ids(path, spaces):
     plain = Tokenizer.from_file(path)
-    texts = ["a plain text", "two  spaces\nand a line", "Word, word's 12!", "< |endoftext| >", "é ß 中"]
-    ids = lambda t: np.array(plain.encode(t, add_special_tokens=False).ids, "<u4")
-    enc = Encoder(path, spaces)
-    assert enc.batch(texts) == [ids(t).tobytes() for t in texts]
-    marked = "before <|endoftext|> behind"
     mark = plain.token_to_id("<|endoftext|>")
-    assert mark in ids(marked) and mark not in np.frombuffer(enc.batch([marked])[0], "<u4")
+    texts = ["before <|endoftext|> behind", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "a  b<|endoftext|>  c\n\n<|startoftext|> d",
+             "<|endoftext|<|endoftext|>>", "<|ENDOFTEXT|> < |endoftext| >", "\0<|endoftext|>\0", ""]
+    enc = Encoder(path, spaces)
+    for _ in range(2):           # learned, then looked up
+        got = enc.batch(texts)
+        assert got == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [mark in np.frombuffer(x, "<u4") for x in got] == [True] * 5 + [False, True, False]
 
 
 def test_fullest_is_the_best_subset():
