@@ -5,7 +5,7 @@ a target stops at twice its source's words, and the excess is shared again by we
 is above.  A document of a source with target / words = r is taken floor(r) times, and once more with
 probability r - floor(r), its inclusion probability.
 
-Flight: the documents of a source go into groups of at most ``group`` rows by a hash of the row.  In a
+Flight: the documents of a source go into groups of about ``group`` rows by a hash of the row, equal rows one after the other.  In a
 group, the probabilities of three undecided documents at a time move along the direction that
 leaves the sums of probabilities and of probability-weighted words as they are (the null space of
 the two balancing constraints), either way with the odds that keep each expectation, until one is 0 or 1.
@@ -25,9 +25,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rewardloom.llm.common import WORD, column_or_null, materialize, row_hash
+from rewardloom.llm.common import WORD, column_or_null, free_name, materialize, row_hash, row_marks, salted_join
 from rewardloom.operators.indexing import sequential_index
 
 _EPS = 1e-12
@@ -101,7 +101,7 @@ def _land(size: list, p: list, held: list[int], draw) -> None:
 
 def _round(todo: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
     def fly(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "size", "p", "doc_id"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["h", "size", "p", "doc_id", "no"], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng([seed, level, int(pdf["rank"].iloc[0]), int(pdf["bucket"].iloc[0])])
         size, p = pdf["size"].astype(float).tolist(), pdf["p"].tolist()
         draw = rng.random
@@ -119,6 +119,11 @@ def _round(todo: DataFrame, level: int, seed: int, last: bool) -> DataFrame:
     return todo.groupBy("rank", "bucket").applyInPandas(fly, todo.schema)
 
 
+def _dealt(seed: int):
+    """A row's group: by its hash, and equal rows one group after the other."""
+    return F.pmod(F.pmod(F.xxhash64("h", "doc_id", F.lit(seed)), F.col("groups")) + F.col("no"), F.col("groups"))
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size, h) of every row; h: a hash of the whole row."""
     return docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"),
@@ -130,31 +135,33 @@ def sized(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, group: int = 4096,
         seed: int = 20) -> DataFrame:
     """Rows (doc_id, size, source_size, target, taken, copies, h), one per row of ``docs``."""
-    rows = materialize(sized(docs), "mix-sizes")
-    per = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
+    rows = materialize(sized(docs).groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("m")), "mix-sizes")
+    per = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("source_size"), F.sum("m").alias("n"))
     goal = materialize(targets(per.select("source", "source_size"), weights, share, cap).alias("t")
                        .join(per.alias("n"), F.expr("t.source <=> n.source"))
                        .select("t.source", "t.rank", "t.source_size", "t.target", "n"), "mix-targets")
     # a source's one row reaches all its documents, the largest source's too: one task's documents are split by a salt
     salts = 64
     salted = goal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    every = (rows.withColumn("salt", F.pmod(F.xxhash64("h", "doc_id"), F.lit(salts)).cast("int")).alias("r")
+    # equal rows are one row with a count until here, then numbered, so that their numbers deal them over the groups
+    rows = rows.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("m") - 1, F.lit(group)))).withColumn("part", F.floor(F.col("from") / F.lit(group)))
+    every = (rows.withColumn("salt", F.pmod(F.pmod(F.xxhash64("h", "doc_id"), F.lit(salts)) + F.col("part"), F.lit(salts)).cast("int")).alias("r")
              .join(salted.alias("t"), F.expr("r.source <=> t.source AND r.salt = t.salt"))
-             .select("doc_id", "size", "h", "rank", "source_size", "target", "n"))
+             .withColumn("no", F.explode(F.sequence("from", F.least(F.col("from") + F.lit(group), F.col("m")) - 1)))
+             .select("doc_id", "size", "h", "no", "rank", "source_size", "target", "n"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     every = (every.withColumn("rate", rate).withColumn("base", F.floor("rate").cast("long"))
                   .withColumn("p", F.col("rate") - F.col("base"))
                   .withColumn("groups", F.ceil(F.col("n") / F.lit(group)).cast("long"))
-                  .withColumn("bucket", F.pmod(F.xxhash64("h", "doc_id", F.lit(seed)), F.col("groups"))))
-    keep = ["doc_id", "size", "h", "rank", "source_size", "target", "base", "bucket", "p"]
+                  .withColumn("bucket", _dealt(seed)))
+    keep = ["doc_id", "size", "h", "no", "rank", "source_size", "target", "base", "bucket", "p"]
     todo, done, level = every.select(*keep), [], 0
     while True:
         biggest = (per if level == 0 else todo.groupBy("rank").agg(F.count(F.lit(1)).alias("n"))).agg(F.max("n")).first()[0]
         last = (biggest or 0) <= group
         if level and not last:
             counts = todo.groupBy("rank").agg(F.ceil(F.count(F.lit(1)) / F.lit(group)).cast("long").alias("groups"))
-            todo = (todo.join(counts, "rank").withColumn("bucket", F.pmod(F.xxhash64("h", "doc_id", F.lit(seed + level)),
-                                                                          F.col("groups"))).select(*keep))
+            todo = (todo.join(counts, "rank").withColumn("bucket", _dealt(seed + level)).select(*keep))
         elif level:
             todo = todo.withColumn("bucket", F.lit(0).cast("long"))
         flown = materialize(_round(todo, level, seed, last), f"mix-round{level}")
@@ -173,12 +180,13 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0
 
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken.  Equal rows are told apart by a number."""
-    mark = {"h": "__mix_h", "n": "__mix_n", "c": "__mix_c"}
-    number = Window.partitionBy(mark["h"]).orderBy(mark["h"])
-    taken = (mix(docs, **how).groupBy(F.col("h").alias(mark["h"])).agg(F.sort_array(F.collect_list("copies")).alias("all")))
-    marked = docs.withColumn(mark["h"], row_hash(docs))
-    marked = marked.withColumn(mark["n"], F.row_number().over(number))
-    return (marked.join(taken, mark["h"])
-                  .withColumn(mark["c"], F.explode(F.array_repeat(F.lit(1), F.element_at("all", F.col(mark["n"])).cast("int"))))
-                  .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The mix itself: every row of ``docs`` as often as it is taken.  Equal rows are one row, as often as they are taken together;
+    a row that is taken very often is written by several tasks."""
+    names, marked = row_marks(docs)
+    portion, often = free_name(marked, "__row_portion"), free_name(marked, "__row_copies")
+    taken = mix(docs, **how).groupBy(F.col("h").alias(names[0]), F.coalesce("doc_id", F.lit(0)).alias(names[1])).agg(F.sum("copies").alias(often))
+    taken = materialize(taken.where(F.col(often) > 0), "mix-taken")
+    some = F.explode(F.sequence(F.lit(0), F.col(often) - 1, F.lit(4096)))
+    taken = taken.withColumn(portion, some).withColumn(often, F.least(F.col(often) - F.col(portion), F.lit(4096)).cast("int"))
+    both = salted_join(taken, marked.dropDuplicates(names), names, most=16)
+    return both.withColumn(portion, F.explode(F.array_repeat(F.lit(1), F.col(often)))).select(*[F.col(f"`{c}`") for c in docs.columns])

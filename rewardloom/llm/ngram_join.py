@@ -26,9 +26,9 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rewardloom.llm.common import column_or_null, components, materialize, row_hash, salted_join
+from rewardloom.llm.common import column_or_null, components, materialize, row_hash, rows_of, salted_join
 
 _RNG = np.random.default_rng(808)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -228,8 +228,8 @@ def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float =
     classes = materialize(light.groupBy("cls").agg(first, F.count(F.lit(1)).alias("copies"), F.max("bands").alias("bands")), "ngram-classes")
     dealt = classes.select("cls", "copies", "bands", F.posexplode("bands").alias("band", "value"))
     met = dealt.select("band", "value").groupBy("band", "value").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    met = met.select(F.struct("band", "value").alias("key"), F.ceil(F.col("m") / F.lit(block)).cast("int").alias("blocks"))
-    dealt = salted_join(dealt.select(F.struct("band", "value").alias("key"), "cls"), met, "key", salts=8)
+    met = materialize(met.select(F.struct("band", "value").alias("key"), F.ceil(F.col("m") / F.lit(block)).cast("int").alias("blocks"), "m"), "ngram-met")
+    dealt = salted_join(dealt.select(F.struct("band", "value").alias("key"), "cls"), met.drop("m"), "key", sizes=met.select("key", F.col("m").alias("rows")))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (dealt.withColumn("mine", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", other)
              .select(F.col("key.band").alias("band"), F.col("key.value").alias("value"), F.least("mine", "other").alias("i"),
@@ -252,12 +252,10 @@ def linked(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float =
     top = of.groupBy("root").agg(F.min("first").alias("top"))
     of = salted_join(of, top, "root").select("cls", F.col("top.doc_id").alias("class_id"), F.col("first.doc_id").alias("text_class"),
                                              (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("top.h").alias("keeper"))
-    return salted_join(light.select("doc_id", "h", "cls"), of, "cls").select("doc_id", "class_id", "text_class", "n_links", "h", "keeper")
+    return salted_join(light.select("doc_id", "h", "cls"), of, "cls", sizes=classes.select("cls", F.col("copies").alias("rows")),
+                       spread=F.monotonically_increasing_id()).select("doc_id", "class_id", "text_class", "n_links", "h", "keeper")
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one row of each class of documents that links connect: the least doc_id."""
-    keepers = linked(docs, **how).where("h = keeper").select(F.col("h").alias("__join_h")).distinct()
-    marked = docs.withColumn("__join_h", row_hash(docs)).join(keepers, "__join_h", "left_semi")
-    number = F.row_number().over(Window.partitionBy("__join_h").orderBy("__join_h"))
-    return marked.withColumn("__join_n", number).where("__join_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows_of(docs, linked(docs, **how).where("h = keeper AND doc_id <=> class_id"), once=True)

@@ -2,13 +2,13 @@
 
 A logistic regression over dense rates of the whole text (capitals, marks, symbols, bars, digits, repeated words and
 lines, word and line lengths) gives each document a probability p of good quality; it learns from at most
-``sample`` labelled documents.  Grouped sums of p give each path (part of a site) and each host a rate.  A host's rate
+``sample`` labelled rows (rows alike in id and text count once there).  Grouped sums of p give each path (part of a site) and each host a rate.  A host's rate
 shrinks towards the global one, a path's towards its host's: (sum + k * prior) / (n + k), with k from the data by
 moments, g (1 - g) / v - 1 for the variance v between groups beyond what chance gives; so a sparse site says
 little.  A document is left out of its own site's sums.  Its posterior log odds are its evidence (its
 log odds less those of the learning sample) plus the log odds of its path's rate.
 
-Sums are light rows pre-aggregated before their shuffle, and the join back deals a large site over salts.
+Sums are light rows pre-aggregated before their shuffle, and the join back deals large sites alone over salts.
 
 Defined cases: a null text is the empty text and is never accepted, nor is one without a word (score 0); a null host or path
 is a value of its own; without both labels every evidence is 0; of several labels the largest counts; repeated
@@ -25,7 +25,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rewardloom.llm.common import bounded_sample, column_or_null, materialize, row_hash, salted_join
+from rewardloom.llm.common import bounded_sample, column_or_null, labelled_rows, materialize, row_hash, rows_of, salted_join, sampled_texts
 
 _RUN = re.compile(rb"[!?*#$%&|=_~^-]{2,}")
 _WORD = re.compile(rb"[A-Za-z\x80-\xff]+")
@@ -61,9 +61,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
               .where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")))
     if keep is not None:
         marked = marked.where(keep)
-    chosen = bounded_sample(marked, sample)
-    texts = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(_x, "label int, x array<double>"))   # ``sample`` ids
+    chosen = bounded_sample(labelled_rows(docs, marked), sample)
+    rows = sampled_texts(docs, chosen).select("label", "text").mapInArrow(_x, "label int, x array<double>")
     rows = materialize(rows.select(F.col("label").cast("double").alias("label"), "x"), "quality-sample")
     share, low, high = rows.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     if low is None or low == high:
@@ -107,7 +106,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, host: str = "source", path: s
     rows = evidence(plain, model)
     rows = materialize(rows.withColumn("p", F.coalesce(1 / (1 + F.exp(-F.col("odds"))), F.lit(0.0))), "quality-evidence")
     paths = materialize(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")), "quality-paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"))
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs"), F.count(F.lit(1)).alias("rows"))
     total = hosts.agg(F.sum("hn"), F.sum("hs"), F.count(F.lit(1)), F.sum(F.col("hn") ** 2)).first()
     if not total[0]:
         return rows.select("doc_id", F.lit(0.0).alias("text_score"), F.lit(0.0).alias("host_rate"), F.lit(0.0).alias("path_rate"),
@@ -115,11 +114,12 @@ def posteriors(docs: DataFrame, labels: DataFrame, host: str = "source", path: s
     rate = float(np.clip(total[1] / total[0], 1e-6, 1 - 1e-6))
     spread = hosts.agg(F.sum(F.col("hn") * (F.col("hs") / F.col("hn") - rate) ** 2)).first()[0]
     k_host = _strength(rate, total[2], total[0], total[3], spread)
-    both = materialize(salted_join(paths, hosts, "host"), "quality-sites")
+    both = materialize(salted_join(paths, hosts.drop("rows"), "host", sizes=hosts.select("host", "rows")), "quality-sites")
     inner = both.agg(F.sum(F.col("n") * (F.col("s") / F.col("n") - F.col("hs") / F.col("hn")) ** 2), F.count(F.lit(1)), F.sum(F.col("n") ** 2)).first()
     k_path = _strength(rate, inner[1] - total[2] + 1, total[0], inner[2], inner[0])
     site = both.select(F.struct("host", "path").alias("site"), "n", "s", "hn", "hs")
-    out = salted_join(rows.withColumn("site", F.struct("host", "path")), site, "site")
+    out = salted_join(rows.withColumn("site", F.struct("host", "path")), site, "site",
+                      sizes=site.select("site", F.col("n").alias("rows")), spread=F.monotonically_increasing_id())
     host_rate = (F.col("hs") - F.col("p") + k_host * rate) / (F.col("hn") - 1 + k_host)
     path_rate = (F.col("s") - F.col("p") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
     keep = lambda c: F.least(F.greatest(c, F.lit(1e-6)), F.lit(1 - 1e-6))
@@ -132,6 +132,4 @@ def posteriors(docs: DataFrame, labels: DataFrame, host: str = "source", path: s
 
 def accepted_rows(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """``docs`` without the rows whose posterior is under the threshold."""
-    good = posteriors(docs, labels, **how).where("accepted").select(F.col("h").alias("__quality_h")).distinct()
-    return (docs.withColumn("__quality_h", row_hash(docs)).join(good, "__quality_h", "left_semi")
-                .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return rows_of(docs, posteriors(docs, labels, **how).where("accepted"))

@@ -34,7 +34,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
-from rewardloom.llm.common import bounded_sample, column_or_null, crc_of_id, materialize
+from rewardloom.llm.common import bounded_sample, column_or_null, crc_of_id, labelled_rows, materialize, sampled_texts
 
 # Common insults, and second person words, of English, German, French and Spanish.
 INSULTS = ("idiot moron stupid dumb loser pathetic worthless trash scum disgusting clown fool jerk ugly garbage imbecile "
@@ -138,16 +138,15 @@ def _with_seed(learned: dict[str, float]) -> dict[str, float]:
 
 
 def learning_rows(docs: DataFrame, labels: DataFrame, label: str, keep, sample: int) -> DataFrame:
-    """(doc_id, label, weight, text) of at most ``sample`` labelled documents for which ``keep`` holds, each label at
-    most half of them; their ids are few enough to send to every task.  weight: the label's documents for each sampled one."""
+    """(doc_id, label, weight, text) of at most ``sample`` labelled rows for which ``keep`` holds, each label at
+    most half of them; rows alike in id and text count once.  weight: the label's rows for each sampled one."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
               .where("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")).where(keep))
-    most = sample // 2
+    marked, most = materialize(labelled_rows(docs, marked), "toxic-labelled"), sample // 2
     size = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}      # one row a label
     chosen = reduce(DataFrame.unionByName, [bounded_sample(marked.where(F.col("label") == y), most).withColumn(
         "weight", F.lit(max(size.get(y, 0) / max(most, 1), 1.0))) for y in (1, 0)])
-    texts = docs.select(column_or_null(docs, "doc_id", "long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "weight", "text")
+    return sampled_texts(docs, chosen).select("doc_id", "label", "weight", "text")
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 12000, fold: int = 4, held: int = 2,

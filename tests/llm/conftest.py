@@ -33,7 +33,7 @@ def edge(spark):
             (7, "12 34 !!! ###", "de", "b", 13), (8, "naïve\0text\x0bwith   odd spaces  and\r\n\r\nmore <|endoftext|>", "fr", "d", 30),
             (9, "Le chat est sur la table et la porte est fermée.", "fr", "d", 40), (10, "Der Hund und die Katze sind nicht da.", "de", "d", 40),
             (11, "The cat is on the table and the door is shut.", "en", "d", 40), (12, None, None, None, None)]
-    names = "h size rank block shard at p score cls band x half third host path site bucket copies __salt".split()
+    names = "h size rank block shard at p score cls band x half third host path site bucket copies __salt __row_hash __row_id __row_portion __row_copies no rows".split()
     out = spark.createDataFrame(rows, DOCS)
     for i, n in enumerate(names):
         out = out.selectExpr("*", f"{i} AS `{n}`")

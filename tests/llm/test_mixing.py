@@ -61,3 +61,28 @@ def test_edges(edge, empty):
     assert mix(empty).count() == 0
     mixed = mixed_rows(edge)
     assert mixed.columns == edge.columns and mixed.count() == out.agg(F.sum("copies")).first()[0]
+
+
+def test_many_equal_rows(spark):
+    """20,000 equal rows among 30,000: no group holds much over ``group``, and the mix still comes near its targets."""
+    rows = [(1, "one two three", "a")] * 20_000 + [(i, "w " * (1 + i % 9), "a" if i % 2 else "b") for i in range(2, 10_002)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    out = mix(df, group=512)
+    got = out.groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == len(rows)
+    assert all(abs(r.taken - r.target) <= max(0.01 * r.target, 50) for r in got)
+    mixed = mixed_rows(df, group=512).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in mixed} == {r.doc_id: r.copies for r in out.groupBy("doc_id").agg(F.sum("copies").alias("copies")).collect() if r.copies}
+
+
+def test_groups_of_equal_rows_are_bounded(spark, monkeypatch):
+    from rewardloom.llm import cube
+    seen, plain = [], cube._round
+
+    def watched(todo, *rest):
+        seen.append(todo.groupBy("rank", "bucket").count().agg(F.max("count")).first()[0] or 0)
+        return plain(todo, *rest)
+
+    monkeypatch.setattr(cube, "_round", watched)
+    mix(spark.createDataFrame([(1, "one two three", "a")] * 20_000, "doc_id long, text string, source string"), group=512)
+    assert max(seen) <= 2 * 512

@@ -147,3 +147,22 @@ def test_join_matches_sql(spark):
     want = connect(SF001).execute(oracle_sql()["op8_ngram_bands"]).fetchall()
     got = op8_ngram_bands(spark, SF001).select("doc_id", "class_id", "text_class", "n_links").collect()
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_salted_join_of_hot_keys(spark):
+    """A third of the rows on one key, and equal rows: the same rows as the plain join, the hot key alone is repeated."""
+    from pyspark.sql import functions as F
+    from rewardloom.llm.common import salted_join
+    big = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), (F.col("id") % 2).alias("x"))
+    small = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("y"))
+    for how in ("inner", "left"):
+        want = Counter(map(tuple, big.join(small, "k", how).collect()))
+        for spread in (None, F.monotonically_increasing_id()):
+            assert Counter(map(tuple, salted_join(big, small, "k", how, spread=spread, most=100).collect())) == want
+    assert Counter(map(tuple, salted_join(big, small, ["k"], most=100).collect())) == Counter(map(tuple, big.join(small, "k").collect()))
+
+
+def test_one_of_many_equal_rows(spark):
+    rows = [(5, "the very same row of seven words", "a")] * 3000 + [(None, "another row without any id here", "b")] * 50 + [(9, "quite another text, of its own", None)]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id long, text string, __row_hash string"))
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted({*rows}, key=repr)

@@ -84,3 +84,54 @@ def test_quality_edges(edge, empty, no_labels, labels):
     assert posteriors(empty, labels).count() == 0
     kept = accepted_rows(edge, no_labels)
     assert kept.columns == edge.columns and kept.count() == sum(r.accepted for r in rows)
+
+
+def test_posteriors_by_hand(spark):
+    """Host and path rates, strengths, and scores computed again from the text scores, on all of a table."""
+    import math
+    from collections import defaultdict
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    got = {r.doc_id: r for r in posteriors(docs, labels).collect()}
+    from rewardloom.llm.quality import learn
+    offset = learn(docs, labels)[2]
+    place = {r.doc_id: (r.source, r.lang) for r in docs.select("doc_id", "source", "lang").collect()}
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for i, r in got.items():
+        hosts[place[i][0]].append(r.text_score)
+        paths[place[i]].append(r.text_score)
+    rate = sum(r.text_score for r in got.values()) / len(got)
+
+    def strength(count, sizes, spread):
+        chance, n = rate * (1 - rate), sum(sizes)
+        left = n - sum(s * s for s in sizes) / n
+        return min(max(chance / max((spread - (count - 1) * chance) / left, 1e-7) - 1, 1.0), 1e6)
+
+    mean = lambda x: sum(x) / len(x)
+    k_host = strength(len(hosts), [len(x) for x in hosts.values()], sum(len(x) * (mean(x) - rate) ** 2 for x in hosts.values()))
+    k_path = strength(len(paths) - len(hosts) + 1, [len(x) for x in paths.values()],
+                      sum(len(x) * (mean(x) - mean(hosts[s[0]])) ** 2 for s, x in paths.items()))
+    keep = lambda x: min(max(x, 1e-6), 1 - 1e-6)
+    for i, r in got.items():
+        h, p, mine = hosts[place[i][0]], paths[place[i]], r.text_score
+        host = keep((sum(h) - mine + k_host * rate) / (len(h) - 1 + k_host))
+        path = keep((sum(p) - mine + k_path * host) / (len(p) - 1 + k_path))
+        assert abs(r.host_rate - host) < 1e-6 and abs(r.path_rate - path) < 1e-6
+        if 1e-9 < mine < 1 - 1e-9:
+            odds = math.log(mine / (1 - mine)) - offset + math.log(path / (1 - path))
+            assert abs(r.score - 1 / (1 + math.exp(-odds))) < 1e-5
+        assert r.accepted == (r.score >= 0.5)
+
+
+def test_one_id_on_many_rows(spark):
+    """The samples are bounded by rows: an id of 3,000 texts doesn't bring them all, and rows alike in id and text count once."""
+    from rewardloom.llm.common import bounded_sample, labelled_rows, sampled_texts
+    from rewardloom.llm.toxicity import learning_rows
+    from pyspark.sql import functions as F
+    rows = [(7, f"text {i % 1500} of one id") for i in range(3000)] + [(i, f"text of {i}") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1, 1)] + [(i, i % 2, i % 2) for i in range(100, 400)], "doc_id long, quality int, toxic int")
+    every = labelled_rows(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    assert every.count() == 1500 + 300
+    assert sampled_texts(docs, bounded_sample(every, 200)).count() == 200
+    got = learning_rows(docs, labels, "toxic", F.lit(True), 400).collect()
+    assert len(got) == 350 and sum(r.weight for r in got if r.label) == 1650
