@@ -73,12 +73,12 @@ def salted_join(big: DataFrame, small: DataFrame, key: str | list[str], how: str
     keys = [key] if isinstance(key, str) else key
     if sizes is None:
         sizes = materialize(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")), "join-sizes")
-    bound = max((sizes.agg(F.sum("rows")).first()[0] or 0) * share, most)
-    hot = sizes.where(F.col("rows") > bound).select(*keys, F.ceil(F.col("rows") / F.lit(bound)).cast("int").alias("__salts"))
-    hot = materialize(hot, "join-hot")
-    if hot.isEmpty():
+    total, top = sizes.agg(F.sum("rows"), F.max("rows")).first()
+    bound = max((total or 0) * share, most)
+    if (top or 0) <= bound:
         return big.join(small, keys, how)
-    hot, dealt = F.broadcast(hot), F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]) if spread is None else spread
+    hot = sizes.where(F.col("rows") > bound).select(*keys, F.ceil(F.col("rows") / F.lit(bound)).cast("int").alias("__salts"))
+    hot, dealt = F.broadcast(materialize(hot, "join-hot")), F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]) if spread is None else spread
     b = (big.withColumn("__at", dealt).join(hot, keys, "left")
             .withColumn("__salt", F.coalesce(F.pmod("__at", "__salts"), F.lit(0)).cast("int")).drop("__at", "__salts"))
     s = (small.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts"))
