@@ -32,3 +32,26 @@ def test_batches_follow_the_key(spark):
         wide = max(len(x[1]) for x in rows[i // 4 * 4:i // 4 * 4 + 4])
         assert (r.batch_no, r.prompt_key, r.input_ids) == (i // 4, key, [0] * (wide - len(ids)) + ids)
         assert r.attention_mask == [0] * (wide - len(ids)) + [1] * len(ids)
+
+
+def test_calls_are_bounded_and_made_once(spark):
+    """No call gets much more than MOST_CHARS characters (or MOST_IDS ids) of several rows, and a filter doesn't encode again."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(most):
+        def factory():
+            def fn(values):
+                if len(values) > 1 and sum(map(len, values)) > most:
+                    raise ValueError("too much in one call")
+                calls.add(len(values))
+                return [[len(x)] for x in values] if isinstance(values[0], str) else [str(sum(x)) for x in values]
+            return fn
+        return factory
+
+    rows = [(i, "x" * (D.MOST_CHARS // 3 + i)) for i in range(10)] + [(10, "y" * (2 * D.MOST_CHARS)), (11, None), (12, "")]
+    df = spark.createDataFrame(rows, "row int, text string").coalesce(1)
+    got = {r.row: r.input_ids for r in D.tokenize_with(df, "text", counting(D.MOST_CHARS), key="row").collect()}
+    assert got == {i: [len(t or "")] for i, t in rows} and calls.value == len(rows)
+    ids = df.select("row", F.array_repeat(F.lit(1), (F.length(F.coalesce("text", F.lit(""))) / 2).cast("int")).alias("ids"))
+    back = {r.row: r.text for r in D.decode_with(ids, "ids", counting(D.MOST_IDS)).select("row", "text").collect()}
+    assert back == {i: str(len(t or "") // 2) for i, t in rows}
