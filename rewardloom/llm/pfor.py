@@ -45,26 +45,26 @@ def _widths(x: np.ndarray) -> np.ndarray:
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """(k, 128) values under 2**width as (k, 4 * width) words; 32 values share width words."""
-    v = values.reshape(len(values), 4, 32).astype(np.uint64)
-    out = np.zeros((len(values), 4, width + 1), np.uint64)
+    v = np.ascontiguousarray(values.reshape(-1, 32).T).astype(np.uint64)       # row i: the i-th of each 32
+    out = np.zeros((width + 1, v.shape[1]), np.uint64)
     for i in range(32):
         word, bit = divmod(i * width, 32)
-        moved = v[:, :, i] << np.uint64(bit)
-        out[:, :, word] |= moved & np.uint64(0xFFFFFFFF)
-        out[:, :, word + 1] |= moved >> np.uint64(32)
-    return out[:, :, :width].astype("<u4").reshape(len(values), 4 * width)
+        moved = v[i] << np.uint64(bit)
+        out[word] |= moved & np.uint64(0xFFFFFFFF)
+        out[word + 1] |= moved >> np.uint64(32)
+    return out[:width].T.astype("<u4").reshape(len(values), 4 * width)
 
 
 def _unpack(words: np.ndarray, width: int) -> np.ndarray:
-    w = words.reshape(len(words), 4, width).astype(np.uint64)
-    w = np.concatenate([w, np.zeros((len(words), 4, 1), np.uint64)], axis=2)
-    out = np.empty((len(words), 4, 32), np.uint32)
+    w = np.zeros((width + 1, 4 * len(words)), np.uint64)
+    w[:width] = words.reshape(-1, width).T
+    out = np.empty((32, w.shape[1]), np.uint32)
     mask = np.uint64((1 << width) - 1)
     for i in range(32):
         word, bit = divmod(i * width, 32)
-        both = w[:, :, word] | (w[:, :, word + 1] << np.uint64(32))
-        out[:, :, i] = (both >> np.uint64(bit)) & mask
-    return out.reshape(len(words), BLOCK)
+        both = w[word] | (w[word + 1] << np.uint64(32))
+        out[i] = (both >> np.uint64(bit)) & mask
+    return out.T.reshape(len(words), BLOCK)
 
 
 def encode(ids: np.ndarray, percentile: float = 0.9) -> bytes:

@@ -12,20 +12,27 @@ across the boundaries used below, so the ids of a text are the ids of its chunks
 A special string of the tokenizer (such as an end mark) in a text is found before anything else, as written, and becomes
 its one id, as in the library's plain ``encode``; the text before it and behind it are chunked each on its own.
 
-A natural text repeats its words, so most chunks are a dictionary lookup.  A new chunk made of
-letters and trailing punctuation is one pre-token each, which goes to the tokenizer's model
-directly; every other new chunk goes through the whole tokenizer.  The dictionaries live as long
-as the Python worker and start anew when they hold ``MOST`` entries; entries of over ``LONG``
-characters aren't kept.  ``tests/llm`` compares the ids with the library's on fuzzed texts.
+A natural text repeats its words, so some texts at a time are cut in Arrow and each of their distinct
+chunks is looked up once.  A new chunk made of letters and trailing punctuation is one pre-token
+each, which goes to the tokenizer's model directly; every other new chunk goes through the whole
+tokenizer.  The dictionary lives as long as the Python worker.  When it holds ``MOST`` entries it
+becomes the older of two and a new one begins, which takes over the entries that are used again;
+the older one before it is dropped.  Entries of over ``LONG`` characters aren't kept.  ``tests/llm``
+compares the ids with the library's on fuzzed texts.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 
-MOST, LONG = 400_000, 48
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MOST, LONG = 300_000, 48
 _TWO = re.compile(r"\s\s")
 _INNER = re.compile(r"(?<=\S) (?=\S)")
 # letters of ASCII and Latin-1 (composed, one lower-case letter each), then ASCII punctuation without the apostrophe
@@ -57,7 +64,14 @@ class Encoder:
         self.kept = spaces == "kept"
         self.names = _byte_names()
         self.seen: dict[str, bytes] = dict(self.marks)      # of chunks; no other chunk holds a special string
-        self.parts: dict[str, bytes] = {}                   # of pre-tokens
+        self.older: dict[str, bytes] = {}
+        self.space, self.feed = self.names[ord(" ")], self.names[ord("\n")]
+        self.line = self._part("\0\n") if self.kept else b""
+        odd = [re.escape(x) for x in longest_first]
+        if self.kept:
+            white = "".join(f"\\x{{{c:x}}}" for c in range(sys.maxunicode + 1) if chr(c).isspace())
+            odd += ["\\x{0}", f"[{white}][{white}]"]
+        self.odd = "|".join(odd)                            # in Arrow: texts to be cut by _chunks
 
     def _chunks(self, text: str) -> list[str]:
         """Keys of the text's chunks and special strings."""
@@ -84,34 +98,50 @@ class Encoder:
         cut[0] = "\0" + cut[0]
         return cut
 
-    def _part(self, text: str) -> bytes:
-        """The ids of one pre-token."""
-        ids = self.parts.get(text)
+    def _part(self, key: str) -> bytes:
+        """The ids of a chunk that is one pre-token."""
+        ids = self.seen.get(key)
         if ids is None:
-            named = text.translate(self.names) if text.isascii() else text.encode().decode("latin-1").translate(self.names)
-            ids = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
-            if len(text) <= LONG:
-                self.parts[text] = ids
+            ids = self.older.get(key)
+            if ids is None:
+                ids = self._spelled(key)
+            if len(key) <= LONG:
+                self.seen[key] = ids
         return ids
 
-    def _learn(self, keys: list[str]) -> None:
-        whole = []
+    def _spelled(self, key: str) -> bytes:
+        text = self._text(key)
+        if text.isascii():      # letters, marks, a space or a line feed
+            named = text.replace(" ", self.space).replace("\n", self.feed)
+        else:
+            named = text.encode().decode("latin-1").translate(self.names)
+        return array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
+
+    def _learn(self, keys: list[str]) -> list[bytes]:
+        """The ids of chunks that aren't in a dictionary."""
+        out, whole = [], []
         for key in keys:
+            if key.isascii() and key.isalpha() and (self.kept or key.islower()):
+                out.append(self._spelled(key))
+                continue
             m = _PLAIN.fullmatch(key)
             if m is None:
-                whole.append(key)
+                whole.append(len(out))
+                out.append(b"")
                 continue
             line, word, marks = m.groups()
             if not self.kept:
                 ids = self._part(word.lower())
             else:
-                ids = self._part("\n") + self._part(word) if line else self._part(" " + word)
-            self.seen[key] = ids + self._part(marks) if marks else ids
+                ids = self.line + self._part("\0" + word) if line else self._part(word)
+            if marks:
+                ids += self._part("\0" + marks if self.kept else marks)
+            out.append(ids)
         for i in range(0, len(whole), 20_000):
-            keys = whole[i:i + 20_000]
-            for key, e in zip(keys, self.tokenizer.encode_batch_fast([self._text(x) for x in keys],
-                                                                     add_special_tokens=False)):
-                self.seen[key] = array("I", e.ids).tobytes()
+            some = whole[i:i + 20_000]
+            for j, e in zip(some, self.tokenizer.encode_batch_fast([self._text(keys[j]) for j in some], add_special_tokens=False)):
+                out[j] = array("I", e.ids).tobytes()
+        return out
 
     def _text(self, key: str) -> str:
         if not self.kept:
@@ -120,20 +150,44 @@ class Encoder:
             return key[1:]
         return key if key[:1] == "\n" else " " + key
 
+    def _cut(self, texts: pa.Array) -> pa.Array:
+        """``_ordinary`` of many texts; none with repeated white space or a zero character, if ``kept``."""
+        if not self.kept:
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        marked = pc.binary_join_element_wise(pa.scalar("\0", texts.type), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", texts.type))
+        return pc.split_pattern(marked, " ")
+
+    def _ids(self, keys: list[str]) -> list[bytes]:
+        """The ids of distinct chunks: looked up, taken over from the older dictionary or learned."""
+        if len(self.seen) > MOST:
+            self.older, self.seen = self.seen, dict(self.marks)
+        ids = list(map(self.seen.get, keys))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            for i, x in zip(new, map(self.older.get, [keys[i] for i in new])):
+                ids[i] = x
+            unknown = [i for i in new if ids[i] is None]
+            for i, x in zip(unknown, self._learn([keys[i] for i in unknown])):
+                ids[i] = x
+            self.seen.update(zip(keys, ids))
+            for key in [x for x in keys if len(x) > LONG and x not in self.marks]:
+                del self.seen[key]
+        return ids
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.seen) > MOST:
-            self.seen.clear()
-            self.seen.update(self.marks)
-        if len(self.parts) > MOST:
-            self.parts.clear()
-        cut, seen = [self._chunks(x) for x in texts], self.seen
-        new = set().union(*cut).difference(seen)
-        self._learn(list(new))
-        out = [b"".join(map(seen.__getitem__, x)) for x in cut]
-        for x in new:
-            if len(x) > LONG:
-                del seen[x]
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, self.odd)
+        cut = self._cut(column.filter(pc.invert(odd)))
+        cut = pa.concat_arrays([cut, pa.array([self._chunks(x) for x in column.filter(odd).to_pylist()], cut.type)])
+        offsets, chunks = cut.offsets, cut.flatten().dictionary_encode()
+        del column, cut
+        ids = self._ids(chunks.dictionary.to_numpy(zero_copy_only=False).tolist())
+        spelled = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.large_binary()).take(chunks.indices))
+        order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")      # the texts' places in cut
+        out: list[bytes] = [b""] * len(texts)
+        for i, x in zip(order.tolist(), pc.binary_join(spelled, pa.scalar(b"", pa.large_binary())).to_pylist()):
+            out[i] = x
         return out
 
 
@@ -147,7 +201,7 @@ def encoder(path: str, spaces: str) -> Encoder:
     return _ENCODERS[path, spaces]
 
 
-def encoded(batches, path: str, spaces: str, end: int, most_chars: int = 4_000_000):
+def encoded(batches, path: str, spaces: str, end: int, most_chars: int = 8_000_000):
     """(the row's other columns, its ids with the end id as bytes) of each row of Arrow batches with a
     column text; encodes some texts at a time."""
     enc, tail = encoder(path, spaces), array("I", [end]).tobytes()

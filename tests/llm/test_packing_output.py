@@ -1,12 +1,13 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from rewardloom.llm import tokens
 from rewardloom.llm.packing import fullest, pack
 from rewardloom.llm.pfor import decode, encode, encode_and_read
 from rewardloom.llm.tokens import Encoder
@@ -116,3 +117,28 @@ def test_written_and_read(which, request):
     for g, x in zip(got, whole(BYTE, [t for _, t in rows])):
         assert g[1:] == (at, len(x), zlib.crc32(x.tobytes()))
         at += len(x)
+
+
+@pytest.mark.parametrize("path,spaces", [(BYTE, "kept"), (WORD, "dropped")])
+def test_chunks_in_use_are_spelled_once(path, spaces, monkeypatch):
+    """Chunks that come again aren't learned again when the dictionary is full."""
+    monkeypatch.setattr(tokens, "MOST", 60)
+    enc, spelled = Encoder(path, spaces), Counter()
+
+    class Model:
+        def __init__(self, model):
+            self.model = model
+
+        def tokenize(self, text):
+            spelled[text] += 1
+            return self.model.tokenize(text)
+
+    enc.model = Model(enc.model)
+    rng = random.Random(5)
+    usual = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(40)]
+    for _ in range(12):
+        rare = ["".join(rng.choices("mnopqrst", k=8)) for _ in range(15)]
+        texts = [" ".join(rng.sample(usual, 40) + rare), " ".join(rare[:5] + usual)]
+        assert enc.batch(texts) == [x[:-1].tobytes() for x in whole(path, texts)]
+    assert len(spelled) > 200 and max(spelled.values()) <= 2        # a word may begin a text: spelled without its space
+    assert len(enc.seen) + len(enc.older) < 4 * tokens.MOST
